@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from kessan.queries.bind import Tables, cte
 
 _FUNCTIONS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-_SQL: dict[str, str] = {}
+_SQL: dict[str, tuple[str, tuple[str, ...]]] = {}
 #: Inventory ids each query covers.
 COVERS: dict[str, tuple[str, ...]] = {}
 
@@ -20,10 +20,12 @@ def query(name: str, ids: str, sql: str | None = None, uses: str = ""):
     def register(fn: Callable[[Tables], DataFrame]):
         if name in _FUNCTIONS:
             raise ValueError(f"{name} is registered twice")
-        _FUNCTIONS[name] = lambda spark, sf_dir: fn(Tables(spark, sf_dir))
+        run = lambda spark, sf_dir: fn(Tables(spark, sf_dir))
+        run.__module_name__ = fn.__module__.rsplit(".", 1)[-1]
+        _FUNCTIONS[name] = run
         COVERS[name] = tuple(ids.split())
         if sql is not None:
-            _SQL[name] = cte(*uses.split()) + sql if uses else sql
+            _SQL[name] = sql, tuple(uses.split())
         return fn
 
     return register
@@ -48,4 +50,4 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def all_sql() -> dict[str, str]:
     _load()
-    return dict(_SQL)
+    return {name: (cte(*uses) if uses else "") + sql for name, (sql, uses) in _SQL.items()}
