@@ -7,10 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Texts that mean "not applicable" in statement exports.
-DASHES = ("", "－", "―", "ー", "-", "–", "—")
-# Texts that mean "missing" in accrual inputs.
-MISSING = ("", "－", "-", "―", "ー", "−", "nan", "None")
+# Texts that mean "not applicable" or "missing" (dashes of several kinds, nan, None, nothing)
+# need no list of their own: none of them is a number.
 # Yen per unit.
 UNITS = {"円": 1.0, "千円": 1e3, "百万円": 1e6, "億円": 1e8, "JPY": 1.0}
 # Marks of a negative figure.
@@ -18,59 +16,50 @@ NEGATIVE_MARKS = ("△", "▲")
 
 _WIDE = "０１２３４５６７８９"
 _NARROW = "0123456789"
-_FLOAT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-_SPACE = r"^[\s　 ]+|[\s　 ]+$"
+_SPACES = " \t\n\r\v\f　 "
+_NUMBER = r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
 
 
-def _strip(text: Column) -> Column:
-    return F.regexp_replace(text, _SPACE, "")
+def _plain(text: Column, drop: str = "") -> Column:
+    """Trimmed, with full-width digits narrowed and the characters of ``drop`` gone."""
+    return F.btrim(F.translate(text, _WIDE + drop, _NARROW), F.lit(_SPACES))
 
 
 def to_double(text: Column) -> Column:
     """Number or null. Java's suffixes (``1d``) are no numbers here."""
-    narrow = F.translate(_strip(text), _WIDE, _NARROW)
-    return F.when(narrow.rlike(_FLOAT), narrow.try_cast("double"))
+    plain = _plain(text)
+    return F.when(plain.rlike(f"^{_NUMBER}$"), plain.try_cast("double"))
 
 
 def to_whole(text: Column) -> Column:
     """Whole number or null; ``1.5`` is no whole number."""
-    narrow = F.translate(_strip(text), _WIDE, _NARROW)
-    return F.when(narrow.rlike(r"^[+-]?[0-9]+$"), narrow.try_cast("decimal(38,0)"))
+    plain = _plain(text)
+    return F.when(plain.rlike(r"^[+-]?[0-9]+$"), plain.try_cast("decimal(38,0)"))
 
 
 def normalize_number(text: Column) -> Column:
     """Statement figure to double: dashes are null, marks and brackets negative, other
     characters (a unit behind the figure, for instance) are ignored."""
-    bare = F.replace(_strip(text), F.lit(","), F.lit(""))
-    marked = F.substring(bare, 1, 1).isin(*NEGATIVE_MARKS)
-    unmarked = F.when(marked, _strip(F.substring(bare, 2, 2**31 - 1))).otherwise(bare)
-    bracketed = unmarked.startswith("(") & unmarked.endswith(")")
-    digits = F.regexp_replace(
-        F.translate(unmarked, _WIDE, _NARROW), r"[^0-9.eE+\-]", ""
-    )
-    number = to_double(digits)
-    signed = F.when(marked | bracketed, -number).otherwise(number)
-    return F.when(~_strip(text).isin(*DASHES), signed)
+    plain = _plain(text, ",")
+    marks = "".join(NEGATIVE_MARKS)
+    negative = plain.rlike(rf"(?s)^[{marks}]|^\(.*\)$")
+    digits = F.regexp_replace(plain, r"[^0-9.eE+\-]", "")
+    number = F.when(digits.rlike(f"^{_NUMBER}$"), digits.try_cast("double"))
+    return number * F.when(negative, F.lit(-1.0)).otherwise(F.lit(1.0))
 
 
 def normalize_value(text: Column, unit: Column) -> Column:
     """Accrual figure in yen: strict number, scaled by its unit; an unknown unit counts as yen."""
-    stripped = _strip(text)
-    bare = F.replace(stripped, F.lit(","), F.lit(""))
-    bracketed = bare.startswith("(") & bare.endswith(")")
-    marked = F.substring(bare, 1, 1).isin(*NEGATIVE_MARKS)
-    body = (
-        F.when(bracketed, F.substring(bare, 2, F.length(bare) - 2))
-        .when(marked, F.substring(bare, 2, 2**31 - 1))
-        .otherwise(bare)
-    )
-    number = to_double(body)
+    plain = _plain(text, ",")
+    marks = "".join(NEGATIVE_MARKS)
+    valid = plain.rlike(rf"^(\(\s*{_NUMBER}\s*\)|[{marks}]?\s*{_NUMBER})$")
+    number = F.translate(plain, "()" + marks + _SPACES, "").try_cast("double")
+    sign = F.when(F.substring(plain, 1, 1).isin("(", *NEGATIVE_MARKS), F.lit(-1.0)).otherwise(F.lit(1.0))
     scale = F.lit(1.0)
     for name, factor in UNITS.items():
         if factor != 1.0:
             scale = F.when(unit == name, F.lit(factor)).otherwise(scale)
-    signed = F.when(bracketed | marked, -number).otherwise(number)
-    return F.when(~stripped.isin(*MISSING), signed * scale)
+    return F.when(valid, number * sign * scale)
 
 
 def to_int(number: Column) -> Column:

@@ -74,19 +74,22 @@ def single_values(leaves: DataFrame) -> DataFrame:
 
 
 def last_leaf(values: DataFrame) -> DataFrame:
-    """Of leaves that share a label, the last one with any value replaces the others.
+    """Of leaves that share a label, the last one with any value replaces the others. Header
+    (META) items hold one value only: that of the last period, and no period.
 
-    The window holds at most the periods of the leaves of one label.
+    One window serves both; it holds at most the periods of the leaves of one label.
     """
-    rank = F.struct("ord", "leaf")
-    best = F.max(rank).over(W.Window.partitionBy(*LEAF_KEYS))
-    return values.withColumn("best", best).filter(rank.eqNullSafe(F.col("best"))).drop("best")
-
-
-def last_period(meta: DataFrame) -> DataFrame:
-    """Header items hold one value: that of their last period."""
-    return meta.groupBy(*LEAF_KEYS, "ord").agg(
-        F.max_by("value", "period_ord").alias("value")
+    is_meta = F.col("statement") == "META"
+    rank = F.struct(F.col("ord"), F.col("leaf"), F.when(is_meta, F.col("period_ord")).alias("last"))
+    best = F.max("rank").over(W.Window.partitionBy(*LEAF_KEYS))
+    kept = values.withColumn("rank", rank).withColumn("best", best).filter(
+        F.col("rank").eqNullSafe(F.col("best"))
+    )
+    return kept.select(
+        *LEAF_KEYS, "ord",
+        F.when(~is_meta, F.col("period")).alias("period"),
+        F.when(~is_meta, F.col("period_ord")).alias("period_ord"),
+        "value",
     )
 
 

@@ -60,13 +60,16 @@ def take(df: DataFrame, key: str, n: int | Column, group: tuple[str, ...] = (),
     return ranked.filter(F.col("position") <= n).drop("position", "group_size")
 
 
-def balance(df: DataFrame, label: str, key: str, seed: str = SEED) -> DataFrame:
-    """As many random rows of each class as the smaller class has."""
-    sizes = df.groupBy(label).agg(F.count("*").alias("_n"))
+def balance(
+    df: DataFrame, label: str, key: str, seed: str = SEED, within: tuple[str, ...] = ()
+) -> DataFrame:
+    """As many random rows of each class as the smallest class has (in each part of ``within``)."""
+    sizes = df.groupBy(*within, label).agg(F.count("*").alias("_n"))
     # One row per class, so the window over all of them is small.
-    least = F.min("_n").over(W.Window.partitionBy(F.lit(0)))
-    smallest = sizes.select(label, least.alias("_least"))
-    ranked = positions(df, key, (label,), seed).join(smallest, label)
+    least = F.min("_n").over(W.Window.partitionBy(*(within or (F.lit(0),))))
+    smallest = sizes.select(*within, label, least.alias("_least"))
+    group = (*within, label)
+    ranked = positions(df, key, group, seed).join(smallest, list(group))
     return ranked.filter(F.col("position") <= F.col("_least")).drop("position", "group_size", "_least")
 
 

@@ -59,6 +59,22 @@ def best_per_year(headers: DataFrame) -> DataFrame:
     )
 
 
+def best_and_reasons(headers: DataFrame) -> DataFrame:
+    """``best_per_year`` of the accepted filings and, for the others, the reason of the last path:
+    one row per company and fiscal year, in one aggregation."""
+    order = F.struct(F.coalesce("submit_text", F.lit("")), F.col("path"))
+    columns = [c for c in headers.columns if c not in ("entity_id", "fiscal_year", "accepted", "standard_reason")]
+    accepted = F.col("accepted")
+    return (
+        headers.groupBy("entity_id", "fiscal_year")
+        .agg(
+            F.max_by(F.struct(*columns), F.when(accepted, order)).alias("_best"),
+            F.max_by("standard_reason", F.when(~accepted, F.col("path"))).alias("standard_reason"),
+        )
+        .select("entity_id", "fiscal_year", "_best.*", "standard_reason")
+    )
+
+
 def duplicate_log(headers: DataFrame, chosen: DataFrame) -> DataFrame:
     """The filings that lost in ``best_per_year``, with the winner's name."""
     winners = chosen.select(

@@ -12,7 +12,8 @@ from kessan.functions.numbers import plus_if_base
 from kessan.functions.text import first_filled
 from kessan.operators.companies import without_industries
 from kessan.operators.facts import Measure, fallback_values, header_values
-from kessan.operators.select import best_per_year, company_years, duplicate_log
+from kessan.operators.select import best_and_reasons, best_per_year, company_years, duplicate_log
+from kessan.session import written
 
 FIRST_YEAR, LAST_YEAR = 2015, 2024
 
@@ -145,27 +146,21 @@ class AccrualTables:
 def accrual_rows(
     facts: DataFrame, entities: DataFrame, companies: DataFrame,
     first: int = FIRST_YEAR, last: int = LAST_YEAR, excluded_industries: tuple[str, ...] = (),
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``(grid, headers, chosen)``: the grid has a row per company and fiscal year with the
-    chosen filing's figures and ``missing_reason`` (empty text: complete)."""
+) -> DataFrame:
+    """A row per company and fiscal year with the chosen filing's figures and ``missing_reason``
+    (empty text: complete)."""
     listed = without_industries(companies, excluded_industries)
     headers = filing_headers(facts, entities).filter(
         filters.in_fiscal_years(F.col("fiscal_year"), first, last)
     )
-    accepted = headers.filter("accepted")
-    chosen = best_per_year(accepted)
-    reasons = headers.filter("not accepted").groupBy("entity_id", "fiscal_year").agg(
-        F.max_by("standard_reason", "path").alias("standard_reason")
-    )
     figures = basis_and_values(facts)
-    picked = chosen.join(figures, "doc_id", "left").withColumn(
+    picked = best_and_reasons(headers).join(figures, "doc_id", "left").withColumn(
         "is_consolidated", F.coalesce("is_consolidated", F.lit(False))
     )
     years = company_years(listed.select(*COMPANY_COLUMNS), first, last).withColumn(
         "entity_id", F.col("edinet_code")
     )
-    keys = ["entity_id", "fiscal_year"]
-    grid = years.join(picked.drop("standard_reason"), keys, "left").join(reasons, keys, "left")
+    grid = years.join(picked, ["entity_id", "fiscal_year"], "left")
     basis = F.when(F.col("is_consolidated"), filters.CONSOLIDATED).otherwise(filters.SEPARATE)
     computed = (
         grid.withColumn("ar_end_t_no_e", F.col("rec_base_t"))
@@ -186,10 +181,20 @@ def accrual_rows(
             F.concat(F.lit("accounting_standard: "), "standard_reason"),
         ).otherwise("no_tsv_found_for_year"),
     ).otherwise(_reasons(basis))
-    rows = computed.withColumn("missing_reason", reason).withColumnsRenamed(
+    return computed.withColumn("missing_reason", reason).withColumnsRenamed(
         {"submit_text": "submit_datetime", "path": "tsv_path"}
     )
-    return rows, accepted, chosen
+
+
+def duplicates(
+    facts: DataFrame, entities: DataFrame, companies: DataFrame, first: int = FIRST_YEAR, last: int = LAST_YEAR
+) -> DataFrame:
+    """The filings passed over for another of the same company and year."""
+    accepted = filing_headers(facts, entities).filter(
+        filters.in_fiscal_years(F.col("fiscal_year"), first, last) & F.col("accepted")
+    )
+    log = duplicate_log(accepted, best_per_year(accepted))
+    return log.join(companies.select("edinet_code"), "edinet_code", "left_semi")
 
 
 def accrual_inputs(
@@ -198,15 +203,15 @@ def accrual_inputs(
 ) -> AccrualTables:
     """The complete cases and the three logs.
 
-    ``companies``: ``edinet_code, sec_code, company_name, industry, market``. All four come
-    from one grid; write it once (``session.written``) when more than one is wanted.
+    ``companies``: ``edinet_code, sec_code, company_name, industry, market``. Three of
+    them are views of one grid, which is written once.
     """
-    rows, accepted, chosen = accrual_rows(facts, entities, companies, first, last, excluded_industries)
     listed = without_industries(companies, excluded_industries)
+    rows = written(accrual_rows(facts, entities, listed, first, last), "accrual-rows")
     return AccrualTables(
         inputs=complete_rows(rows),
         missing=missing_log(rows),
-        duplicates=duplicate_log(accepted, chosen).join(listed.select("edinet_code"), "edinet_code", "left_semi"),
+        duplicates=duplicates(facts, entities, listed, first, last),
         receivables=receivables_log(rows),
     )
 

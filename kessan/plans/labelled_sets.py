@@ -17,6 +17,7 @@ from kessan.operators.facts import FACT_KEYS
 from kessan.operators.joins import amended_originals, explanations, pairs_with_facts, with_company, with_facts
 from kessan.operators.select import latest_filing, year_pairs
 from kessan.plans.statements import ENTITY_ITEM, START_ITEM, sections, statements, unconsolidated
+from kessan.session import written
 
 SECTIONS = ("meta", "summary", "bs", "pl", "cf", "text")
 
@@ -32,20 +33,15 @@ OTHER_EXAMPLES = 700
 
 def parsed_sections(facts: DataFrame, docs: DataFrame, vocab: DataFrame | None = None) -> DataFrame:
     """Sections of the filings in ``docs`` (``doc_id``), with ``edinet_code`` and the year of the
-    fiscal start; filings without a code in their header are left out."""
-    chosen = facts.join(docs.select("doc_id"), "doc_id", "left_semi")
-    parsed = statements(chosen, vocab)
-    header = (
-        parsed.filter((F.col("statement") == "META") & F.col("item").isin(ENTITY_ITEM, START_ITEM))
-        .groupBy("doc_id")
-        .agg(
-            F.max(F.when(F.col("item") == ENTITY_ITEM, F.col("value"))).alias("edinet_code"),
-            F.max(F.when(F.col("item") == START_ITEM, F.col("value"))).alias("start"),
-        )
-        .filter(F.coalesce("edinet_code", F.lit("")) != "")
-    )
-    year = F.get(F.split("start", "-"), F.lit(0)).try_cast("int").alias("start_year")
-    return sections(parsed).join(header.select("doc_id", "edinet_code", year), "doc_id")
+    fiscal start; filings without a code in their header are left out.
+
+    The facts of the chosen filings are written once: the parser reads them more than once,
+    and choosing them again each time would repeat the whole selection.
+    """
+    chosen = written(facts.join(docs.select("doc_id"), "doc_id", "left_semi"), "chosen-facts")
+    rows = sections(statements(chosen, vocab), edinet_code=ENTITY_ITEM, start=START_ITEM)
+    year = F.get(F.split("start", "-"), F.lit(0)).try_cast("int")
+    return rows.filter(F.coalesce("edinet_code", F.lit("")) != "").withColumn("start_year", year).drop("start")
 
 
 def readable(facts: DataFrame, docs: DataFrame) -> DataFrame:
@@ -119,8 +115,10 @@ def earnings_labels(filings: DataFrame, facts: DataFrame, seed: str = sampling.S
 def earnings_examples(
     filings: DataFrame, facts: DataFrame, n: int = EARNINGS_EXAMPLES, seed: str = sampling.SEED
 ) -> DataFrame:
-    """The first ``n`` valid companies in random order."""
-    return sampling.take(earnings_labels(filings, facts, seed), "edinetCode", n, seed=seed)
+    """The first ``n`` valid companies in random order. The labels, one narrow row per company,
+    are written once: counting and ranking them are two passes."""
+    labels = written(earnings_labels(filings, facts, seed), "earnings-labels")
+    return sampling.take(labels, "edinetCode", n, seed=seed)
 
 
 def earnings_set(
@@ -128,15 +126,14 @@ def earnings_set(
     vocab: DataFrame | None = None, seed: str = sampling.SEED,
 ) -> DataFrame:
     """Examples with sections and ``split`` (fiscal start before 2020: train)."""
-    chosen = earnings_examples(filings, facts, n, seed).drop("edinetCode")
+    chosen = written(earnings_examples(filings, facts, n, seed).drop("edinetCode"), "earnings-examples")
     rows = parsed_sections(facts, chosen, vocab).join(chosen, "doc_id")
     split = sampling.split_by_year(rows, F.col("start_year"))
     if balanced:
-        parts = [
-            sampling.balance(split.filter(F.col("split") == name), "label", "doc_id", seed)
-            for name in ("train", "test")
-        ]
-        split = parts[0].unionByName(parts[1])
+        split = written(split, "earnings-rows")
+        keys = split.select("doc_id", "label", "split")
+        kept = sampling.balance(keys, "label", "doc_id", seed, within=("split",)).select("doc_id")
+        split = split.join(kept, "doc_id", "left_semi")
     return split.select(
         *SECTIONS, "label", "naive_prediction", "edinet_code", "doc_id",
         F.concat("edinet_code", F.lit("/"), "doc_id", F.lit(".tsv")).alias("previous_year_file_path"),
@@ -178,7 +175,7 @@ def industry_set(
     filings: DataFrame, facts: DataFrame, companies: DataFrame, excluded_tickers: DataFrame | None = None,
     per_group: int = PER_INDUSTRY, vocab: DataFrame | None = None, seed: str = sampling.SEED,
 ) -> DataFrame:
-    chosen = industry_examples(filings, companies, excluded_tickers, per_group, seed)
+    chosen = written(industry_examples(filings, companies, excluded_tickers, per_group, seed), "industry-examples")
     rows = parsed_sections(facts, chosen, vocab).join(chosen, "doc_id")
     return rows.select(
         *SECTIONS, "industry", "edinet_code", "doc_id",
@@ -245,13 +242,13 @@ def misstatement_set(
     vocab: DataFrame | None = None, seed: str = sampling.SEED,
 ) -> DataFrame:
     """Examples with sections, split by company; sort by ``edinet_code`` when writing."""
-    chosen = misstatement_examples(filings, facts, judgements, n, seed)
+    chosen = written(misstatement_examples(filings, facts, judgements, n, seed), "misstatement-examples")
     rows = parsed_sections(facts, chosen, vocab).join(chosen, "doc_id")
     shaped = rows.select(
         *SECTIONS, "label", "explanation", "edinet_code", "amended_doc_id", "doc_id",
         F.concat("edinet_code", F.lit("/"), "doc_id", F.lit(".tsv")).alias("file_path"),
     )
-    return sampling.split_by_group(shaped, "edinet_code", seed=seed)
+    return sampling.split_by_group(written(shaped, "misstatement-rows"), "edinet_code", seed=seed)
 
 
 def judgements_of_replies(amended_facts: DataFrame, replies: DataFrame) -> DataFrame:

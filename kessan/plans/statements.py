@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kessan.functions import filters
 from kessan.functions.text import json_text
-from kessan.operators.facts import FACT_KEYS, last_leaf, last_period, leaf_facts, single_values
+from kessan.operators.facts import FACT_KEYS, last_leaf, leaf_facts, single_values
 from kessan.vocab import STATEMENTS, builtin_vocab
 
 # The header item that says whether statements are consolidated.
@@ -33,16 +33,7 @@ def statements(
     vocab = vocab.filter(F.col("statement").isin(*only))
     leaves = leaf_facts(facts, vocab, by_rule and bool({"SUMMARY", "TEXT"} & set(only)))
     values = single_values(leaves.filter(F.col("statement").isin(*only)))
-    body = last_leaf(values.filter(F.col("statement") != "META")).select(
-        "doc_id", "statement", "ord", "item", "period", "period_ord", "value"
-    )
-    if "META" in only:
-        meta = last_period(values.filter(F.col("statement") == "META")).select(
-            "doc_id", "statement", "ord", "item",
-            F.lit(None).cast("string").alias("period"), F.lit(None).cast("int").alias("period_ord"), "value",
-        )
-        body = body.unionByName(meta)
-    return body.join(gate, "doc_id", "left_anti")
+    return last_leaf(values).join(gate, "doc_id", "left_anti")
 
 
 def unconsolidated(facts: DataFrame) -> DataFrame:
@@ -62,48 +53,53 @@ def unconsolidated(facts: DataFrame) -> DataFrame:
     return last.filter(F.col("value") == "false").select("doc_id")
 
 
-def period_maps(body: DataFrame) -> DataFrame:
-    """``doc_id, statement, ord, item, periods``: a map from period to value, at most ten entries."""
-    entries = F.transform(
-        F.array_sort(F.collect_list(F.struct("period_ord", "period", "value"))),
-        lambda e: F.struct(e["period"], e["value"]),
-    )
-    return body.groupBy("doc_id", "statement", "item").agg(
-        F.max("ord").alias("ord"), F.map_from_entries(entries).alias("periods")
+def period_maps(parsed: DataFrame) -> DataFrame:
+    """``doc_id, statement, ord, item, periods, value``: a map from period to value with at most
+    ten entries; for header items ``value`` instead."""
+    has_period = F.col("period").isNotNull()
+    entry = F.when(has_period, F.struct("period_ord", "period", "value"))
+    entries = F.transform(F.array_sort(F.collect_list(entry)), lambda e: F.struct(e["period"], e["value"]))
+    return parsed.groupBy("doc_id", "statement", "item").agg(
+        F.max("ord").alias("ord"),
+        F.map_from_entries(entries).alias("periods"),
+        F.max(F.when(~has_period, F.col("value"))).alias("value"),
     )
 
 
-def sections(parsed: DataFrame) -> DataFrame:
-    """One row per filing with the six statements as JSON text: ``meta, summary, text, bs, pl, cf``.
+def _quoted(text: Column) -> Column:
+    """Text as a JSON string: a one-element array as JSON, without its brackets."""
+    one = F.to_json(F.array(text))
+    return F.coalesce(F.substring(one, F.lit(2), F.length(one) - 2), F.lit("null"))
+
+
+def sections(parsed: DataFrame, **header: str) -> DataFrame:
+    """One row per filing with the six statements as JSON text: ``meta, summary, text, bs, pl, cf``,
+    and a column per header item named.
 
     A row holds one filing's vocabulary items, so its size does not grow with the corpus.
     """
-    body = period_maps(parsed.filter(F.col("statement") != "META")).select(
-        "doc_id", "statement", "ord", "item", json_text(F.col("periods")).alias("json")
-    )
-    meta = parsed.filter(F.col("statement") == "META").select(
-        "doc_id", "statement", "ord", "item", F.col("value").alias("json")
+    is_meta = F.col("statement") == "META"
+    shown = F.when(is_meta, F.when(F.col("value").isNull(), "null").otherwise(_quoted(F.col("value")))).otherwise(
+        json_text(F.col("periods"))
     )
+    items = period_maps(parsed).withColumn("json", shown)
 
-    def listed(name: str):
+    def listed(name: str) -> Column:
         entry = F.struct("ord", "item", "json")
-        return F.array_sort(F.collect_list(F.when(F.col("statement") == name, entry)))
+        return F.array_sort(F.collect_list(F.when(F.col("statement") == name, entry))).alias(name)
 
-    grouped = body.unionByName(meta).groupBy("doc_id").agg(*(listed(s).alias(s) for s in STATEMENTS))
+    def header_value(item: str, alias: str) -> Column:
+        return F.max(F.when(is_meta & (F.col("item") == item), F.col("value"))).alias(alias)
 
-    def quoted(column):
-        # A one-element array as JSON, without its brackets: the text as a JSON string.
-        one = F.to_json(F.array(column))
-        return F.substring(one, F.lit(2), F.length(one) - 2)
+    grouped = items.groupBy("doc_id").agg(
+        *(listed(s) for s in STATEMENTS), *(header_value(item, alias) for alias, item in header.items())
+    )
 
-    def joined(name: str):
-        if name == "META":
-            pair = lambda e: F.concat(quoted(e["item"]), F.lit(":"), F.coalesce(quoted(e["json"]), F.lit("null")))
-        else:
-            pair = lambda e: F.concat(quoted(e["item"]), F.lit(":"), e["json"])
-        return F.concat(F.lit("{"), F.array_join(F.transform(F.col(name), pair), ","), F.lit("}"))
+    def joined(name: str) -> Column:
+        pairs = F.transform(F.col(name), lambda e: F.concat(_quoted(e["item"]), F.lit(":"), e["json"]))
+        return F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}")).alias(name.lower())
 
-    return grouped.select("doc_id", *(joined(s).alias(s.lower()) for s in STATEMENTS))
+    return grouped.select("doc_id", *(joined(s) for s in STATEMENTS), *header)
 
 
 def statement_maps(parsed: DataFrame) -> DataFrame:
@@ -116,9 +112,3 @@ def statement_maps(parsed: DataFrame) -> DataFrame:
     return maps.withColumn("periods_list", F.map_entries("periods")).groupBy("doc_id", "statement").agg(
         F.map_from_entries(entries).alias("items")
     )
-
-
-def meta_value(parsed: DataFrame, item: str, alias: str) -> DataFrame:
-    return parsed.filter((F.col("statement") == "META") & (F.col("item") == item)).select(
-        "doc_id", F.col("value").alias(alias)
-    )

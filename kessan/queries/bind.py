@@ -92,34 +92,31 @@ FILINGS = {
 # --- facts ---------------------------------------------------------------------------------
 
 _Y = "CAST(round(l_extendedprice * 100) AS BIGINT)"
-
-
-def _share(number: int) -> str:
-    return f"CAST(floor({_Y} / {number}) AS BIGINT)"
-
-
-# (element, label, kind, amount) per order line; elements vary with the part.
+# Per order line: elements (chosen by part), label, kind, and the amount as price * times / over + plus.
 LINE_FACTS = (
-    ("CASE WHEN l_partkey % 5 = 0 THEN 'jppfs_cor:NetSalesOfCompletedConstructionContracts' ELSE 'jppfs_cor:NetSales' END", "売上高", "期間", _Y),
-    ("'jppfs_cor:CostOfSales'", "売上原価", "期間", _share(2)),
-    ("CASE WHEN l_partkey % 4 = 0 THEN 'jppfs_cor:OperatingProfitLoss' ELSE 'jppfs_cor:OperatingIncome' END", "営業利益", "期間", _share(10)),
-    ("CASE WHEN l_partkey % 2 = 0 THEN 'jppfs_cor:ProfitLoss' ELSE 'jppfs_cor:ProfitLossAttributableToOwnersOfParent' END", "当期純利益", "期間", f"{_share(20)} - 200000"),
-    ("'jppfs_cor:NetCashProvidedByUsedInOperatingActivities'", "営業活動による収支", "期間", f"{_share(15)} - 50000"),
-    ("'jppfs_cor:Assets'", "資産", "時点", f"{_Y} * 3"),
-    ("'jppfs_cor:NetAssets'", "純資産", "時点", _Y),
-    ("CASE l_partkey % 3 WHEN 0 THEN 'jppfs_cor:NotesAndAccountsReceivableTrade' WHEN 1 THEN 'jppfs_cor:AccountsReceivableTrade' ELSE 'jppfs_cor:AccountsReceivableOther' END", "売掛金", "時点", _share(5)),
-    ("CASE WHEN l_partkey % 2 = 0 THEN 'jppfs_cor:ElectronicallyRecordedMonetaryClaimsOperatingCA' ELSE 'jppfs_cor:ElectronicallyRecordedMonetaryClaimsOperating' END", "電子記録債権", "時点", _share(50)),
-    ("CASE WHEN l_partkey % 3 = 0 THEN 'jppfs_cor:PropertyPlantAndEquipmentNet' ELSE 'jppfs_cor:PropertyPlantAndEquipment' END", "有形固定資産", "時点", _share(4)),
-    ("'jpcrp_cor:NetSalesSummaryOfBusinessResults'", "売上高、経営指標等", "期間", _Y),
-    ("CASE l_partkey % 3 WHEN 0 THEN 'jppfs_cor:Merchandise' WHEN 1 THEN 'jppfs_cor:WorkInProcess' ELSE 'jppfs_cor:RawMaterialsAndSupplies' END", "棚卸資産", "時点", _share(8)),
-    ("CASE WHEN l_partkey % 7 = 0 THEN 'jpigp_cor:NetSalesIFRS' ELSE 'jpcrp_cor:OtherNetSales' END", "その他の売上高", "期間", _share(3)),
-    ("CASE l_partkey % 3 WHEN 0 THEN 'jppfs_cor:ShortTermLoansPayable' WHEN 1 THEN 'jppfs_cor:LongTermLoansPayable' ELSE 'jppfs_cor:BondsPayable' END", "借入金", "時点", _share(6)),
+    (("jppfs_cor:NetSalesOfCompletedConstructionContracts", *("jppfs_cor:NetSales",) * 4), "売上高", "期間", 1, 1, 0),
+    (("jppfs_cor:CostOfSales",), "売上原価", "期間", 1, 2, 0),
+    (("jppfs_cor:OperatingProfitLoss", *("jppfs_cor:OperatingIncome",) * 3), "営業利益", "期間", 1, 10, 0),
+    (("jppfs_cor:ProfitLoss", "jppfs_cor:ProfitLossAttributableToOwnersOfParent"), "当期純利益", "期間", 1, 20, -200000),
+    (("jppfs_cor:NetCashProvidedByUsedInOperatingActivities",), "営業活動による収支", "期間", 1, 15, -50000),
+    (("jppfs_cor:Assets",), "資産", "時点", 3, 1, 0),
+    (("jppfs_cor:NetAssets",), "純資産", "時点", 1, 1, 0),
+    (("jppfs_cor:NotesAndAccountsReceivableTrade", "jppfs_cor:AccountsReceivableTrade", "jppfs_cor:AccountsReceivableOther"), "売掛金", "時点", 1, 5, 0),
+    (("jppfs_cor:ElectronicallyRecordedMonetaryClaimsOperatingCA", "jppfs_cor:ElectronicallyRecordedMonetaryClaimsOperating"), "電子記録債権", "時点", 1, 50, 0),
+    (("jppfs_cor:PropertyPlantAndEquipmentNet", *("jppfs_cor:PropertyPlantAndEquipment",) * 2), "有形固定資産", "時点", 1, 4, 0),
+    (("jpcrp_cor:NetSalesSummaryOfBusinessResults",), "売上高、経営指標等", "期間", 1, 1, 0),
+    (("jppfs_cor:Merchandise", "jppfs_cor:WorkInProcess", "jppfs_cor:RawMaterialsAndSupplies"), "棚卸資産", "時点", 1, 8, 0),
+    (("jpigp_cor:NetSalesIFRS", *("jpcrp_cor:OtherNetSales",) * 6), "その他の売上高", "期間", 1, 3, 0),
+    (("jppfs_cor:ShortTermLoansPayable", "jppfs_cor:LongTermLoansPayable", "jppfs_cor:BondsPayable"), "借入金", "時点", 1, 6, 0),
 )
+_AMOUNT = f"(CAST(floor({_Y} * f.times / f.over) AS BIGINT) + f.plus)"
+_ELEMENT_SPARK = "get(f.names, CAST(l_partkey % size(f.names) AS INT))"
+_ELEMENT_SQL = "f.names[(l_partkey % len(f.names)) + 1]"
 _PERIOD = "CASE l_returnflag WHEN 'A' THEN 'CurrentYear' WHEN 'N' THEN 'Prior1Year' ELSE 'Prior2Year' END"
 _REL = "CASE l_returnflag WHEN 'A' THEN '当期' WHEN 'N' THEN '前期' ELSE '前々期' END"
 LINE_COLUMNS = {
     "doc_id": "'S' || CAST(l_orderkey AS STRING)",
-    "element": "f.element",
+    "element": _ELEMENT_SPARK,
     "label": "f.label",
     "context": (
         f"({_PERIOD}) || CASE WHEN f.kind = '期間' THEN 'Duration' ELSE 'Instant' END "
@@ -132,9 +129,9 @@ LINE_COLUMNS = {
     "unit": "CASE l_linenumber % 4 WHEN 0 THEN '千円' WHEN 1 THEN '円' WHEN 2 THEN '百万円' ELSE 'JPY' END",
     "value": (
         "CASE WHEN l_tax > 0.075 THEN '－' WHEN l_tax > 0.065 AND l_linenumber = 5 THEN NULL "
-        "ELSE CAST(f.amount AS STRING) END"
+        f"ELSE CAST({_AMOUNT} AS STRING) END"
     ),
-    "src_ord": "CAST(l_linenumber AS BIGINT) * 100",
+    "src_ord": "CAST(l_linenumber AS BIGINT) * 100 + f.place",
 }
 # (element, label, value) per order, in file order.
 HEADER_FACTS = (
@@ -203,30 +200,52 @@ def _sql_columns(columns: dict[str, str]) -> str:
     return ", ".join(f"{text} AS {name}" for name, text in columns.items())
 
 
-def _spark_facts(rows: tuple, names: tuple[str, ...]):
-    structs = []
-    for place, row in enumerate(rows, 1):
-        fields = []
-        for name, text in zip(names, row):
-            literal = name in ("label", "kind")
-            fields.append((F.lit(text) if literal else F.expr(text)).alias(name))
-        structs.append(F.struct(*fields, F.lit(place).cast("bigint").alias("place")))
+def _spark_header_facts():
+    structs = [
+        F.struct(
+            F.expr(element).alias("element"), F.lit(label).alias("label"), F.expr(text).alias("text"),
+            F.lit(place).cast("bigint").alias("place"),
+        )
+        for place, (element, label, text) in enumerate(HEADER_FACTS, 1)
+    ]
     return F.explode(F.array(*structs)).alias("f")
 
 
-def _sql_facts(rows: tuple, names: tuple[str, ...]) -> str:
-    structs = []
-    for place, row in enumerate(rows, 1):
-        fields = [
-            f"'{name}': " + (f"'{text}'" if name in ("label", "kind") else text)
-            for name, text in zip(names, row)
-        ]
-        structs.append("{" + ", ".join(fields) + f", 'place': CAST({place} AS BIGINT)}}")
+def _spark_line_facts():
+    # All literals: the array is folded to one constant and the generated code stays small.
+    structs = [
+        F.struct(
+            F.array(*(F.lit(n) for n in names)).alias("names"), F.lit(label).alias("label"), F.lit(kind).alias("kind"),
+            F.lit(times).cast("bigint").alias("times"), F.lit(over).cast("bigint").alias("over"),
+            F.lit(plus).cast("bigint").alias("plus"), F.lit(place).cast("bigint").alias("place"),
+        )
+        for place, (names, label, kind, times, over, plus) in enumerate(LINE_FACTS, 1)
+    ]
+    return F.explode(F.array(*structs)).alias("f")
+
+
+def _sql_header_facts() -> str:
+    structs = [
+        f"{{'element': {element}, 'label': '{label}', 'text': {text}, 'place': CAST({place} AS BIGINT)}}"
+        for place, (element, label, text) in enumerate(HEADER_FACTS, 1)
+    ]
+    return f"unnest([{', '.join(structs)}]) AS f"
+
+
+def _sql_line_facts() -> str:
+    structs = [
+        f"{{'names': {list(names)}, 'label': '{label}', 'kind': '{kind}', 'times': {times}, 'over': {over}, "
+        f"'plus': CAST({plus} AS BIGINT), 'place': CAST({place} AS BIGINT)}}"
+        for place, (names, label, kind, times, over, plus) in enumerate(LINE_FACTS, 1)
+    ]
     return f"unnest([{', '.join(structs)}]) AS f"
 
 
-_LINE = ("element", "label", "kind", "amount")
-_HEADER = ("element", "label", "text")
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores where its files make fewer tasks than there are cores (a single
+    small file, as here); unchanged where they make enough."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 class Tables:
@@ -258,13 +277,12 @@ class Tables:
 
     @cached_property
     def line_facts(self) -> DataFrame:
-        lines = self.raw("lineitem").select("*", _spark_facts(LINE_FACTS, _LINE))
-        columns = dict(LINE_COLUMNS, src_ord=LINE_COLUMNS["src_ord"] + " + f.place")
-        return lines.select(*_spark_columns(columns))
+        lines = spread(self.raw("lineitem")).select("*", _spark_line_facts())
+        return lines.select(*_spark_columns(LINE_COLUMNS))
 
     @cached_property
     def header_facts(self) -> DataFrame:
-        orders = self.raw("orders").select("*", _spark_facts(HEADER_FACTS, _HEADER))
+        orders = spread(self.raw("orders")).select("*", _spark_header_facts())
         return orders.select(*_spark_columns(HEADER_COLUMNS))
 
     @cached_property
@@ -288,7 +306,7 @@ class Tables:
         return self.raw("events").select(*_spark_columns(REPLIES))
 
 
-_LINE_SQL = dict(LINE_COLUMNS, src_ord=LINE_COLUMNS["src_ord"] + " + f.place")
+_LINE_SQL = dict(LINE_COLUMNS, element=_ELEMENT_SQL)
 CTES = {
     "companies": f"SELECT {_sql_columns(COMPANIES)} FROM customer",
     "listing": (
@@ -297,8 +315,8 @@ CTES = {
     ),
     "filings": f"SELECT {_sql_columns(FILINGS)} FROM orders",
     "annual": f"SELECT * FROM (SELECT {_sql_columns(FILINGS)} FROM orders) WHERE formCode = '030000'",
-    "line_facts": f"SELECT {_sql_columns(_LINE_SQL)} FROM (SELECT *, {_sql_facts(LINE_FACTS, _LINE)} FROM lineitem)",
-    "header_facts": f"SELECT {_sql_columns(HEADER_COLUMNS)} FROM (SELECT *, {_sql_facts(HEADER_FACTS, _HEADER)} FROM orders)",
+    "line_facts": f"SELECT {_sql_columns(_LINE_SQL)} FROM (SELECT *, {_sql_line_facts()} FROM lineitem)",
+    "header_facts": f"SELECT {_sql_columns(HEADER_COLUMNS)} FROM (SELECT *, {_sql_header_facts()} FROM orders)",
     "text_facts": f"SELECT {_sql_columns(TEXT_COLUMNS)} FROM documents",
     "facts": "SELECT * FROM line_facts UNION ALL SELECT * FROM header_facts UNION ALL SELECT * FROM text_facts",
     "entities": "SELECT docID AS doc_id, edinetCode AS entity_id FROM filings",

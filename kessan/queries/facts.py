@@ -150,7 +150,7 @@ def _(t):
 @query("header_items", "A12", "SELECT doc_id, item, value FROM meta", "meta")
 def _(t):
     leaves = facts.leaf_facts(t.facts, builtin_vocab(t.spark).filter("statement = 'META'"), by_rule=False)
-    return facts.last_period(facts.single_values(leaves)).select("doc_id", "item", "value")
+    return facts.last_leaf(facts.single_values(leaves)).select("doc_id", "item", "value")
 
 
 @query(

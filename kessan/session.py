@@ -19,6 +19,9 @@ def build_session(app: str = "kessan", master: str | None = None, **conf: str) -
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # The virtual machine does not compile methods above 8,000 bytes of bytecode, so wide
+        # aggregations run faster outside whole-stage code than in one method too long for it.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         # The company master is Shift_JIS, a charset outside the default list of the CSV source.
         .config("spark.sql.legacy.javaCharsets", "true")
     )
