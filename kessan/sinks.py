@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Fixed value: the mark that tells spreadsheets the file is UTF-8.
 BYTE_ORDER_MARK = "﻿"
 
 
@@ -36,7 +37,8 @@ def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def write_filing_metadata(filings: DataFrame, path: str, mode: str = "append") -> None:
     """Filing metadata by report type and company."""
-    keyed = filings.withColumn("entity_id", F.col("edinetCode"))
+    # A folder's rows meet in one task, so that a folder is one file and not one per task.
+    keyed = filings.withColumn("entity_id", F.col("edinetCode")).repartition("doc_type", "entity_id")
     keyed.write.mode(mode).partitionBy("doc_type", "entity_id").option(
         "ignoreNullFields", "false"
     ).json(path)
@@ -50,9 +52,10 @@ def register_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
 
-def register_table(df: DataFrame, name: str) -> None:
-    """A stored table of this name, replaced if there."""
-    df.write.mode("overwrite").saveAsTable(name)
+def register_table(df: DataFrame, name: str, path: str | None = None) -> None:
+    """A stored table of this name, replaced if there; kept at ``path`` or in the warehouse."""
+    writer = df.write.mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def write_log(log: DataFrame, path: str) -> None:

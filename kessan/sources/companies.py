@@ -25,8 +25,10 @@ def _read_csv(spark: SparkSession, path: str, schema: T.StructType, **options: s
 def read_company_master(spark: SparkSession, path: str) -> DataFrame:
     """Shift_JIS, one preamble line before the header; undecodable bytes are replaced.
 
-    Needs ``spark.sql.legacy.javaCharsets`` (set by ``build_session``).
+    Spark's CSV source takes this charset only with ``spark.sql.legacy.javaCharsets``, which
+    ``build_session`` sets; a session made elsewhere gets it here.
     """
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     rows = (
         spark.read.schema(COMPANY_FILE)
         .option("encoding", "Shift_JIS")
