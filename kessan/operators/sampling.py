@@ -9,6 +9,8 @@ from pyspark.sql import window as W
 SEED = "42"
 #: Hex digits of the hash that name a bucket: 65,536 buckets per group.
 BUCKET_DIGITS = 4
+#: Most rows that are merged in one task.
+TOP_N = 100_000
 
 
 def hash_order(key: Column, seed: str = SEED) -> Column:
@@ -16,7 +18,9 @@ def hash_order(key: Column, seed: str = SEED) -> Column:
     return F.md5(F.concat_ws("|", F.lit(seed), key))
 
 
-def first_per_group(df: DataFrame, group: str, key: str, n: int = 1, seed: str = SEED) -> DataFrame:
+def first_per_group(
+    df: DataFrame, group: str, key: str, n: int = 1, seed: str = SEED
+) -> DataFrame:
     """``n`` random rows per group.
 
     ``row_number() <= n`` is cut to ``n`` rows per group before the shuffle, so a group
@@ -54,10 +58,15 @@ def positions(df: DataFrame, key: str, group: tuple[str, ...] = (), seed: str =
     )
 
 
-def take(df: DataFrame, key: str, n: int | Column, group: tuple[str, ...] = (), seed: str = SEED) -> DataFrame:
-    """The first ``n`` rows in hash order (per group)."""
-    ranked = positions(df, key, group, seed)
-    return ranked.filter(F.col("position") <= n).drop("position", "group_size")
+def take(df: DataFrame, key: str, n: int, seed: str = SEED) -> DataFrame:
+    """The first ``n`` rows in hash order.
+
+    A moderate ``n`` is a top-n: each task keeps ``n`` rows and one task merges them. Beyond
+    ``TOP_N`` rows are counted and ranked by bucket instead, so that no task sees them all.
+    """
+    if n <= TOP_N:
+        return df.orderBy(hash_order(F.col(key), seed), key).limit(n)
+    return positions(df, key, seed=seed).filter(F.col("position") <= n).drop("position", "group_size")
 
 
 def balance(

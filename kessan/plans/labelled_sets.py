@@ -14,7 +14,7 @@ from kessan.functions.text import ticker
 from kessan.operators import sampling
 from kessan.operators.companies import INDUSTRY_GROUPS, INVALID, NOT_OBLIGED, recode, without_fraud, without_tickers
 from kessan.operators.facts import FACT_KEYS
-from kessan.operators.joins import amended_originals, explanations, pairs_with_facts, with_company, with_facts
+from kessan.operators.joins import amended_originals, explanations, pairs_with_facts, with_company
 from kessan.operators.select import latest_filing, year_pairs
 from kessan.plans.statements import ENTITY_ITEM, START_ITEM, sections, statements, unconsolidated
 from kessan.session import written
@@ -115,10 +115,8 @@ def earnings_labels(filings: DataFrame, facts: DataFrame, seed: str = sampling.S
 def earnings_examples(
     filings: DataFrame, facts: DataFrame, n: int = EARNINGS_EXAMPLES, seed: str = sampling.SEED
 ) -> DataFrame:
-    """The first ``n`` valid companies in random order. The labels, one narrow row per company,
-    are written once: counting and ranking them are two passes."""
-    labels = written(earnings_labels(filings, facts, seed), "earnings-labels")
-    return sampling.take(labels, "edinetCode", n, seed=seed)
+    """The first ``n`` valid companies in random order."""
+    return sampling.take(earnings_labels(filings, facts, seed), "edinetCode", n, seed)
 
 
 def earnings_set(
@@ -205,20 +203,18 @@ def fraud_entities(facts: DataFrame, fraud_docs: DataFrame) -> DataFrame:
 
 
 def other_filings(
-    filings: DataFrame, facts: DataFrame, fraud_codes: DataFrame, n: int = OTHER_EXAMPLES, seed: str = sampling.SEED
+    filings: DataFrame, fraud_codes: DataFrame, n: int = OTHER_EXAMPLES, seed: str = sampling.SEED
 ) -> DataFrame:
     """A random filing of each of up to ``n`` random companies without a fraud filing.
 
     A pool of ``2n`` random companies is drawn first, fraud companies leave it, and the
-    first ``n`` of the rest stay. A filing drawn without its facts is not replaced.
+    first ``n`` of the rest stay.
     """
     companies = filings.select("edinetCode").distinct()
-    pool = sampling.take(companies, "edinetCode", 2 * n, seed=seed)
-    clean = sampling.take(without_fraud(pool, fraud_codes), "edinetCode", n, seed=seed)
-    drawn = sampling.first_per_group(
-        filings.join(clean, "edinetCode", "left_semi"), "edinetCode", "docID", 1, seed
-    )
-    return with_facts(drawn, facts)
+    pool = sampling.take(companies, "edinetCode", 2 * n, seed)
+    clean = sampling.take(without_fraud(pool, fraud_codes), "edinetCode", n, seed)
+    of_clean = filings.join(clean, "edinetCode", "left_semi")
+    return sampling.first_per_group(of_clean, "edinetCode", "docID", 1, seed)
 
 
 def misstatement_examples(
@@ -226,13 +222,17 @@ def misstatement_examples(
 ) -> DataFrame:
     """``doc_id, label, explanation, amended_doc_id``: fraud filings (1) and others (0).
 
-    Explanations are looked up by the original filing a judgement names.
+    A filing without its facts is left out and not replaced. Explanations are looked up by
+    the original filing a judgement names.
     """
-    positive = with_facts(fraud_filings(filings, judgements), facts).select(F.col("docID").alias("doc_id"))
+    positive = fraud_filings(filings, judgements).select(F.col("docID").alias("doc_id"))
     codes = fraud_entities(facts, positive)
-    negative = other_filings(filings, facts, codes, n, seed).select(F.col("docID").alias("doc_id"))
+    negative = other_filings(filings, codes, n, seed).select(F.col("docID").alias("doc_id"))
     labelled = positive.withColumn("label", F.lit(1)).unionByName(negative.withColumn("label", F.lit(0)))
-    explained = labelled.join(explanations(judgements), "doc_id", "left")
+    # Labels, codes and sample are narrow and small; written, they are chosen once.
+    labelled = written(labelled, "misstatement-labels")
+    there = facts.select("doc_id").join(labelled.select("doc_id"), "doc_id", "left_semi").distinct()
+    explained = labelled.join(there, "doc_id", "left_semi").join(explanations(judgements), "doc_id", "left")
     shown = lambda c: F.when(F.col("label") == 1, F.coalesce(c, F.lit(""))).otherwise("").alias(c)
     return explained.select("doc_id", "label", shown("explanation"), shown("amended_doc_id"))
 

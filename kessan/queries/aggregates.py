@@ -71,11 +71,11 @@ def _(t):
 @query(
     "income_of_one_filing", "A2",
     "SELECT period, max(CASE WHEN item = '売上高' THEN value_num END) AS sales, max(CASE WHEN item = '営業利益' THEN value_num END) AS op, "
-    "max(CASE WHEN item = '当期利益' THEN value_num END) AS ni FROM rows_num WHERE statement = 'PL' AND doc_id = 'S77' GROUP BY period",
+    "max(CASE WHEN item = '当期利益' THEN value_num END) AS ni FROM rows_num WHERE statement = 'PL' AND doc_id = 'S66' GROUP BY period",
     "rows_num",
 )
 def _(t):
-    rows = bs_pl(t).filter("statement = 'PL' and doc_id = 'S77'")
+    rows = bs_pl(t).filter("statement = 'PL' and doc_id = 'S66'")
     return tables.period_pivot(rows, {"sales": "売上高", "op": "営業利益", "ni": "当期利益"}, ("period",))
 
 
@@ -110,11 +110,11 @@ def _(t):
 
 @query(
     "items_of_filing", "P12",
-    "SELECT item, value_num FROM rows_num WHERE statement = 'PL' AND doc_id = 'S77' AND period = 'Prior1Year' AND item IN ('売上高', '営業利益', '当期利益', '売上原価')",
+    "SELECT item, value_num FROM rows_num WHERE statement = 'PL' AND doc_id = 'S66' AND period = 'Prior1Year' AND item IN ('売上高', '営業利益', '当期利益', '売上原価')",
     "rows_num",
 )
 def _(t):
-    return tables.items_of(bs_pl(t).filter("statement = 'PL'"), "S77", "Prior1Year", ["売上高", "営業利益", "当期利益", "売上原価"])
+    return tables.items_of(bs_pl(t).filter("statement = 'PL'"), "S66", "Prior1Year", ["売上高", "営業利益", "当期利益", "売上原価"])
 
 
 @query(

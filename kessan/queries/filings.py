@@ -445,7 +445,7 @@ steps.add_cte(
 def _(t):
     docs = labelled_sets.fraud_filings(t.filings, t.judgements).select(F.col("docID").alias("doc_id"))
     codes = labelled_sets.fraud_entities(t.header_facts, docs)
-    sample = labelled_sets.other_filings(t.filings, t.header_facts, codes, 400)
+    sample = labelled_sets.other_filings(t.filings, codes, 400)
     return sample.select("edinetCode", "docID")
 
 

@@ -178,7 +178,7 @@ def _(t):
 
 @query(
     "registered_tables", "S13 K6",
-    "SELECT formCode AS \"formCode\", count(*) AS n, 2 AS registered FROM filings GROUP BY formCode",
+    "SELECT formCode AS name, count(*) AS n FROM filings GROUP BY formCode UNION ALL SELECT 'registered', 2",
     "filings",
 )
 def _(t):
@@ -186,20 +186,23 @@ def _(t):
     sinks.register_table(counts, "kessan_form_counts", scratch_path(t.spark, "form-counts"))
     sinks.register_view(t.spark.table("kessan_form_counts"), "kessan_form_view")
     names = sources.list_tables(t.spark).filter(F.col("tableName").isin("kessan_form_counts", "kessan_form_view"))
-    registered = names.agg(F.count("*").cast("int").alias("registered")).withColumn("one", F.lit(1))
-    return t.spark.table("kessan_form_view").withColumn("one", F.lit(1)).join(registered, "one").drop("one")
+    registered = names.agg(F.count("*").alias("n")).select(F.lit("registered").alias("name"), "n")
+    return t.spark.table("kessan_form_view").select(F.col("formCode").alias("name"), "n").unionByName(registered)
 
 
 @query(
     "empty_log_keeps_header", "K8 M10",
-    "SELECT 'edinet_code,fiscal_year,tsv_path,missing_reason' AS line, count(*) AS companies FROM companies",
+    "SELECT 'edinet_code,fiscal_year,tsv_path,missing_reason' AS line, 1 AS n UNION ALL SELECT 'listed', count(*) FROM companies WHERE listing = '上場'",
     "companies",
 )
 def _(t):
     from kessan.schema import MISSING_LOG
 
     path = scratch_path(t.spark, "empty-log")
-    sinks.write_log(t.spark.createDataFrame([], MISSING_LOG), path)
-    lines = t.spark.read.text(path).select(F.col("value").alias("line"), F.lit(1).alias("one"))
-    total = t.companies.agg(F.count("*").alias("companies")).withColumn("one", F.lit(1))
-    return lines.join(total, "one").drop("one")
+    none = t.companies.filter("entity_id is null").select(
+        *(F.lit(None).cast(f.dataType).alias(f.name) for f in MISSING_LOG.fields)
+    )
+    sinks.write_log(none, path)
+    lines = t.spark.read.text(path).groupBy(F.col("value").alias("line")).agg(F.count("*").alias("n"))
+    listed = t.companies.filter("listing = '上場'").agg(F.count("*").alias("n"))
+    return lines.unionByName(listed.select(F.lit("listed").alias("line"), "n"))

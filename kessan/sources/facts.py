@@ -9,6 +9,26 @@ from kessan.functions.text import doc_id_of, entity_id_of
 from kessan.schema import FACT_FILE, FACT_FILE_COLUMNS, FACTS
 
 
+FACT_FILE_OPTIONS = {
+    "sep": "\t",
+    "header": "true",
+    "encoding": "UTF-16",
+    "multiLine": "true",
+    "escape": '"',
+    "mode": "PERMISSIVE",
+}
+
+
+def named_facts(rows: DataFrame) -> DataFrame:
+    """Rows of fact files (with ``path`` and ``src_ord``) under the names used here."""
+    named = rows.withColumnsRenamed(FACT_FILE_COLUMNS)
+    return named.select(
+        doc_id_of(F.col("path")).alias("doc_id"),
+        entity_id_of(F.col("path")).alias("entity_id"),
+        *(name for name in FACTS.names if name not in ("doc_id", "entity_id")),
+    )
+
+
 def read_fact_files(spark: SparkSession, path: str) -> DataFrame:
     """Fact files laid out as ``type/entity/doc.tsv``: UTF-16, tabs, quotes, all text.
 
@@ -16,24 +36,11 @@ def read_fact_files(spark: SparkSession, path: str) -> DataFrame:
     work; filings are small and many go into one task. Ragged lines are cut or filled with
     nulls. ``src_ord`` keeps the order of rows within a file: one task reads it in order.
     """
-    rows = (
-        spark.read.schema(FACT_FILE)
-        .option("sep", "\t")
-        .option("header", True)
-        .option("encoding", "UTF-16")
-        .option("multiLine", True)
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .option("enforceSchema", True)
-        .csv(path)
-        .withColumn("src_ord", F.monotonically_increasing_id())
-        .withColumn("path", F.col("_metadata.file_path"))
-    )
-    named = rows.withColumnsRenamed(FACT_FILE_COLUMNS)
-    return named.select(
-        doc_id_of("path").alias("doc_id"),
-        entity_id_of("path").alias("entity_id"),
-        *(name for name in FACTS.names if name not in ("doc_id", "entity_id")),
+    rows = spark.read.schema(FACT_FILE).options(**FACT_FILE_OPTIONS).csv(path)
+    return named_facts(
+        rows.withColumn("src_ord", F.monotonically_increasing_id()).withColumn(
+            "path", F.col("_metadata.file_path")
+        )
     )
 
 
@@ -44,7 +51,8 @@ def land_facts(facts: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def read_facts(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(FACTS).parquet(path)
+    """The parquet copy. Folders of landing batches add no column."""
+    return spark.read.schema(FACTS).parquet(path).select(*FACTS.names)
 
 
 def read_header_columns(spark: SparkSession, path: str) -> DataFrame:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from kessan.functions.text import doc_id_of, entity_id_of
-from kessan.schema import FACT_FILE, FACT_FILE_COLUMNS, FACTS
+from kessan.schema import FACT_FILE
+from kessan.sources.facts import FACT_FILE_OPTIONS, named_facts
 
 
 def land_new_fact_files(
@@ -16,31 +16,27 @@ def land_new_fact_files(
     """Land the fact files that appeared since the last run, then stop.
 
     The checkpoint in ``state`` remembers which files were read, so a second run takes only
-    new ones, and a run that lost its executors is taken up where it stopped. ``source`` is
-    a folder pattern like ``corpus/annual/*``; ``state`` and ``target`` must be on storage
-    all executors reach.
+    new ones. A batch is a folder of ``target`` that a repeated attempt overwrites, so a run
+    that broke off lands nothing twice. ``source`` is a folder pattern like
+    ``corpus/annual/*``; ``state`` and ``target`` must be on storage all executors reach.
     """
-    rows = (
+    files = (
         spark.readStream.schema(FACT_FILE)
-        .option("sep", "\t")
-        .option("header", True)
-        .option("encoding", "UTF-16")
-        .option("multiLine", True)
-        .option("escape", '"')
+        .options(**FACT_FILE_OPTIONS)
         .option("maxFilesPerTrigger", max_files)
         .csv(source)
-        .withColumn("src_ord", F.monotonically_increasing_id())
         .withColumn("path", F.col("_metadata.file_path"))
-        .withColumnsRenamed(FACT_FILE_COLUMNS)
-    )
-    facts = rows.select(
-        doc_id_of(F.col("path")).alias("doc_id"),
-        entity_id_of(F.col("path")).alias("entity_id"),
-        *(name for name in FACTS.names if name not in ("doc_id", "entity_id")),
     )
+
+    def land(batch: DataFrame, number: int) -> None:
+        # Tasks still hold whole files in their order here, so rows can be numbered.
+        numbered = batch.withColumn("src_ord", F.monotonically_increasing_id())
+        named_facts(numbered).sortWithinPartitions("element", "doc_id").write.mode("overwrite").parquet(
+            f"{target}/batch={number}"
+        )
+
     return (
-        facts.writeStream.format("parquet")
-        .option("path", target)
+        files.writeStream.foreachBatch(land)
         .option("checkpointLocation", state)
         .trigger(availableNow=True)
         .start()
