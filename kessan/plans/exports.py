@@ -190,20 +190,21 @@ def chosen_periods(filings: DataFrame, facts: DataFrame, years: int) -> DataFram
 def full_long(chosen: DataFrame, parsed: DataFrame) -> DataFrame:
     """Every statement item of a company at each of its chosen period ends:
     ``edinet_code, statement, item, slot, periodEnd, value``; blank where a filing lacks the item."""
-    from_docs = parsed.filter(F.col("statement").isin("PL", "BS")).join(
-        chosen.select(F.col("docID").alias("doc_id"), "edinetCode", "slot", "periodEnd"), "doc_id"
+    slots = chosen.select(F.col("docID").alias("doc_id"), "edinetCode", "slot", "periodEnd")
+    rows = parsed.filter(F.col("statement").isin("PL", "BS")).join(slots.drop("periodEnd"), "doc_id")
+    # A filing has one value per item and period, so a company's item has at most one entry per
+    # slot; items without a current value keep an empty map.
+    entry = F.when(F.col("period") == PERIOD, F.struct("slot", "value"))
+    items = rows.groupBy("edinetCode", "statement", "item").agg(
+        F.map_from_entries(F.collect_list(entry)).alias("figures")
     )
-    current = F.when(F.col("period") == PERIOD, F.col("value"))
-    figure = to_int(normalize_number(F.max(current)))
-    per_doc = from_docs.groupBy("edinetCode", "statement", "item", "slot", "periodEnd").agg(
-        figure.cast("string").alias("value")
+    periods = slots.groupBy("edinetCode").agg(F.collect_list(F.struct("slot", "periodEnd")).alias("periods"))
+    cells = items.join(periods, "edinetCode").select(
+        F.col("edinetCode").alias("edinet_code"), "statement", "item", "figures", F.inline("periods")
     )
-    # All items a company ever shows, at all its periods: a grid of its items and its slots.
-    grid = per_doc.select("edinetCode", "statement", "item").distinct().join(
-        chosen.select("edinetCode", "slot", "periodEnd"), "edinetCode"
-    )
-    return grid.join(per_doc, ["edinetCode", "statement", "item", "slot", "periodEnd"], "left").select(
-        F.col("edinetCode").alias("edinet_code"), "statement", "item", "slot", "periodEnd", "value"
+    figure = to_int(normalize_number(F.try_element_at("figures", "slot")))
+    return cells.select(
+        "edinet_code", "statement", "item", "slot", "periodEnd", figure.cast("string").alias("value")
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kessan.operators import joins, select
-from kessan.plans import accruals, exports, filing_index, labelled_sets, mart
+from kessan.plans import accruals, corpus_audit, exports, filing_index, labelled_sets, mart
 from kessan.plans.statements import statements
 from kessan.queries import steps
 from kessan.queries.aggregates import accrual_companies
@@ -482,3 +482,19 @@ def _(t):
 def _(t):
     inside = filing_index.submitted_between(t.filings, "2013-01-01", "2018-12-31")
     return filing_index.wanted_filings(inside, "semiannual").select("docID", "edinetCode", "doc_type")
+
+
+# --- corpus audit --------------------------------------------------------------------------
+
+_CATEGORY = "SELECT '{0}' AS kind, {0} AS name, count(*) AS n FROM companies WHERE entity_id IN (SELECT edinetCode FROM filings) GROUP BY {0}"
+
+
+@query(
+    "corpus_audit", "E12 A4 A6 A7",
+    "SELECT 'companies' AS kind, CASE WHEN file_count >= 10 THEN 'complete' ELSE 'incomplete' END AS name, count(*) AS n FROM counted GROUP BY 2 UNION ALL "
+    "SELECT 'fiscal_start_year', CAST(year AS VARCHAR), count(*) FROM start_years GROUP BY 2 UNION ALL "
+    + " UNION ALL ".join(_CATEGORY.format(c) for c in ("listing", "consolidated", "entity_type", "industry")),
+    "counted start_years companies",
+)
+def _(t):
+    return corpus_audit.corpus_audit(t.filings, t.facts, t.companies)

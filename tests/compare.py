@@ -42,9 +42,16 @@ def table(names: list[str], rows) -> tuple[list[str], list[str]]:
     return [names[i] for i in order], sorted(shown)
 
 
+#: What no plan should hold: all pairs of two tables, or rows handed to Python one by one.
+UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas")
+
+
 def compare(spark, con, sf_dir: str, name: str, fn, sql: str | None) -> tuple[bool, str]:
     start = time.time()
     df = fn(spark, sf_dir)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if any(word in plan for word in UNWANTED):
+        return False, f"plan holds one of {UNWANTED}"
     got = table(df.columns, [tuple(r) for r in df.collect()])
     took = time.time() - start
     if sql is None:

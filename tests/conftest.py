@@ -17,7 +17,7 @@ SF_DIR = "/root/testdata/sf0.001"
 def spark(tmp_path_factory):
     session = build_session(
         "tests", "local[8]",
-        spark__sql__shuffle__partitions="8",
+        spark__sql__shuffle__partitions="4",
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="8g",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
