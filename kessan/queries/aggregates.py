@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from kessan.functions.filters import is_filled
 from kessan.operators import audit, tables
-from kessan.plans import accruals, exports, mart
+from kessan.plans import exports, mart
 from kessan.plans.statements import statements
 from kessan.queries import steps
 from kessan.queries.registry import query
@@ -233,11 +233,3 @@ def _(t):
     return audit.run_counters(
         targets=targets.targets(judged), excluded=targets.excluded(judged), none=judged.filter("file_count < 0")
     )
-
-
-@query(
-    "figures_of_filings", "D10 W9 N14 A13",
-    None,
-)
-def _(t):
-    return accruals.basis_and_values(t.facts)

@@ -152,6 +152,16 @@ steps.add_cte(
 )
 
 
+@query(
+    "figures_of_filings", "D10 D12 W9 A13 A14",
+    "SELECT d.doc_id, d.doc_id IN (SELECT doc_id FROM consolidated_docs) AS is_consolidated, w.* EXCLUDE (doc_id) FROM "
+    "(SELECT DISTINCT doc_id FROM line_facts WHERE element IN (SELECT element FROM slots)) d LEFT JOIN wide_figures w ON w.doc_id = d.doc_id",
+    "line_facts slots wide_figures consolidated_docs",
+)
+def _(t):
+    return accruals.basis_and_values(t.facts)
+
+
 def _grid(t):
     return accruals.accrual_rows(t.facts, t.entities, accrual_companies(t))
 
