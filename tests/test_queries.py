@@ -9,8 +9,9 @@ from compare import compare, duck
 from conftest import SF_DIR
 
 import __spark_entry__ as entry
+from kessan.queries import all_queries, all_sql
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = all_queries(), all_sql()
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables here")
 
 
