@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kessan.llm import best_two_fit, byte_bpe
+from kessan.llm import best_two_fit, byte_bpe, relative_lz
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -23,6 +23,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op5_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its repeated passages of 35 words and more, as digests."""
+    found = relative_lz.remove_repeats(table(spark, sf_dir, "documents"), window=35)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op6_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 1,024 tokens."""
