@@ -8,7 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kessan.llm import best_two_fit, byte_bpe, relative_lz, simhash_blocks
+from kessan.llm import (
+    anchored_pii,
+    best_two_fit,
+    byte_bpe,
+    ordinal_quality,
+    relative_lz,
+    simhash_blocks,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -23,6 +30,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade of every document, fitted on the labels, and whether it is kept."""
+    return ordinal_quality.rate_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op5_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its repeated passages of 35 words and more, as digests."""
@@ -51,6 +64,28 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def listed(spans, kinds: tuple[str, ...]):
+    """Spans of some kinds as ``kind:start:end``, joined by commas."""
+    chosen = F.filter(spans, lambda s: s["kind"].isin(*kinds))
+    return F.array_join(F.transform(chosen, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+@query
+def op8_anchored_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every text."""
+    found = anchored_pii.find(table(spark, sf_dir, "documents"))
+
+    def counted(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *map(counted, anchored_pii.BASE_KINDS),
+        F.sha2(listed(F.col("spans"), anchored_pii.BASE_KINDS), 256).alias("base_sha256"),
+        listed(F.col("spans"), anchored_pii.KINDS).alias("spans"),
+    )
+
+
 @query
 def op9_simhash_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""

@@ -202,12 +202,19 @@ def covered_spans(runs: np.ndarray, window: int) -> list[tuple[int, int]]:
     return spans
 
 
-def remove_repeats(df: DataFrame, window: int = 35, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, n_words, n_removed, kept, spans`` per row of ``df``: the words that stay, joined by
-    one space, and the word spans that went."""
-    docs = narrow(df, key=key, text=text).withColumn("crc", F.crc32(F.coalesce("text", F.lit(""))))
-    docs = docs.select("key", "crc", "text")
-    lists = _by_document(factors(docs, window), "first", "count")
+def remove_repeats(
+    df: DataFrame, window: int = 35, key: str = "doc_id", text: str = "text", rest: tuple[str, ...] = ()
+) -> DataFrame:
+    """``key, n_words, n_removed, kept, spans, rest`` per row of ``df``: the words that stay,
+    joined by one space, the word spans that went, and the columns named in ``rest`` as a struct
+    (absent if none are named)."""
+    named = {"rest": F.struct(*(F.col(quoted(c)) for c in rest))} if rest else {}
+    docs = df.select(
+        F.col(quoted(key)).alias("key"), F.crc32(F.coalesce(quoted(text), F.lit(""))).alias("crc"),
+        F.col(quoted(text)).alias("text"), *(c.alias(name) for name, c in named.items()),
+    )
+    others = list(named)
+    lists = _by_document(factors(docs.select("key", "crc", "text"), window), "first", "count")
     kind = docs.schema["key"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,12 +240,13 @@ def remove_repeats(df: DataFrame, window: int = 35, key: str = "doc_id", text: s
                 kinds = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()),
-                     pa.array(kept, pa.string()), pa.array(spans, kinds)],
-                    ["key", "n_words", "n_removed", "kept", "spans"],
+                     pa.array(kept, pa.string()), pa.array(spans, kinds), *part.columns[3:]],
+                    ["key", "n_words", "n_removed", "kept", "spans", *others],
                 )
 
-    joined = _with_list(docs, lists, "left").select("key", "text", "todo")
-    out = joined.mapInArrow(
-        work, f"key {kind}, n_words long, n_removed long, kept string, spans array<struct<start:int,end:int>>"
-    )
+    joined = _with_list(docs, lists, "left").select("key", "text", "todo", *others)
+    schema = f"key {kind}, n_words long, n_removed long, kept string, spans array<struct<start:int,end:int>>"
+    for name in others:
+        schema += f", {name} {docs.schema[name].dataType.simpleString()}"
+    out = joined.mapInArrow(work, schema)
     return out.select(F.col("key").alias(key), *(quoted(c) for c in out.columns[1:]))

@@ -23,10 +23,10 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kessan.llm.columns import narrow
+from kessan.llm.columns import narrow, quoted
 from kessan.llm.components import components
 from kessan.session import written
 
@@ -120,3 +120,29 @@ def near_duplicates(
     return found.join(named, "fp").select(
         F.col("key").alias(key), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def one_per_component(
+    df: DataFrame, shingle: int = 3, max_distance: int = 2, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """One row of ``df`` per component, with all its columns: that of the smallest key, of equal
+    keys the one with the smallest checksum of its text, of equal rows any one."""
+    rows = df.select(
+        F.struct(*(quoted(c) for c in df.columns)).alias("row"),
+        F.struct(
+            F.col(quoted(key)).isNull().alias("none"), F.col(quoted(key)).alias("id"),
+            F.crc32(F.coalesce(quoted(text), F.lit(""))).alias("crc"),
+        ).alias("key"),
+        F.col(quoted(text)).alias("text"),
+    )
+    found = near_duplicates(rows, shingle, max_distance, "key", "text")
+    first = found.filter(F.col("key").eqNullSafe(F.col("component_id"))).select("key").distinct()
+    columns = [F.col("key.none"), F.hash("key.id").alias("hash"), F.col("key.crc"), F.col("key.id").alias("id")]
+    names = ["none", "hash", "crc"]
+    kept = rows.select(*columns, "row").join(first.select(*columns).withColumnRenamed("id", "other"), names)
+    kept = kept.filter(F.col("id").eqNullSafe(F.col("other")))
+    within = Window.partitionBy(*names).orderBy("id")
+    before = F.lag("id").over(within)
+    return kept.withColumn("again", (F.row_number().over(within) > 1) & before.eqNullSafe(F.col("id"))).filter(
+        "NOT again"
+    ).select("row.*")
