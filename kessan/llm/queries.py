@@ -15,6 +15,7 @@ from kessan.llm import (
     ordinal_quality,
     relative_lz,
     simhash_blocks,
+    warc_revisits,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +37,30 @@ def op1_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal_quality.rate_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page archived, copies resolved into revisits, and the archives read back."""
+    records = warc_revisits.archive_pages(table(spark, sf_dir, "pages"), "2024-01-01T00:00:00Z", least_bytes=0)
+    return records.select(
+        F.col("id").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"),
+        F.col("type").alias("record_type"), "refers_to",
+    )
+
+
+SQL["op4_warc_revisits"] = """
+WITH named AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+), digits AS (
+  SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i: substr(
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    (CAST('0x' || substr(hex, CAST(1 + 5 * (i // 4) AS INTEGER), 5) AS INTEGER) >> CAST(15 - 5 * (i % 4) AS INTEGER)) % 32 + 1, 1)), '')
+    AS payload_digest FROM named
+), grouped AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS original FROM digits)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> original THEN original END AS refers_to FROM grouped"""
+
+
 @query
 def op5_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its repeated passages of 35 words and more, as digests."""
