@@ -12,6 +12,8 @@ from kessan.llm import (
     anchored_pii,
     best_two_fit,
     byte_bpe,
+    impact_topk,
+    multi_index_hashing,
     ordinal_quality,
     relative_lz,
     simhash_blocks,
@@ -37,6 +39,30 @@ def op1_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal_quality.rate_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op2_impact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest inner products of every twentieth vector, in whole sixty-fourths."""
+    return impact_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("key") % 20 == 0, k=20, scale=64)
+
+
+SQL["op2_impact_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+), pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM pairs QUALIFY rank <= 20"""
+
+
+@query
+def op3_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest found of every hundredth vector."""
+    return multi_index_hashing.nearest(table(spark, sf_dir, "embeddings"), F.col("key") % 100 == 0, k=10)
+
+
 @query
 def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page archived, copies resolved into revisits, and the archives read back."""
