@@ -2,7 +2,7 @@
 
 A text is cut before every space that a non-space follows. No match of the public splitting
 pattern crosses such a place, so the chunks can be encoded one by one, and each distinct chunk
-only once per worker; the memory of chunks is a speed-up only and is emptied when full.
+as a rule only once per worker; the memory of chunks has a bound and is a speed-up only.
 
 Null texts are encoded as empty ones (no ids). Whole texts are encoded at any length. Rows are
 handled one by one, so repeated rows, ties and further columns pass through unchanged; an empty
@@ -21,15 +21,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-#: Distinct chunks a worker remembers.
-REMEMBERED = 400_000
+#: Distinct chunks a worker remembers; when full, those it met once only are forgotten.
+REMEMBERED = 600_000
 #: Texts handled at a time inside an Arrow batch.
-STEP = 256
+STEP = 512
 
 # Code points that some engines count as white space and others do not are never cut at.
 _NO_CUT = r"\s\x1c-\x1f\x85\u180e\u200b\ufeff"
 _DOUBTFUL = re.compile(rf" (?:[{_NO_CUT}]|$)")
 _CUT = re.compile(rf" (?=[^{_NO_CUT}])")
+# A Latin word with what may follow it: the word is one match of the pattern, the ASCII
+# punctuation (but no apostrophe, which may start a contraction) another.
+_WORD = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\[-`{-~]*)")
 
 
 def byte_characters() -> list[str]:
@@ -90,19 +93,62 @@ class ChunkEncoder:
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.tokenizer, self.first, self.later = tokenizer, {}, {}
-
-    def _learn(self, known: dict[str, bytes], chunks: set[str], before: str) -> None:
-        new = list(chunks.difference(known))
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = list(chunks)
+        if tokenizer.normalizer is not None:
+            raise ValueError("a byte-level tokenizer without a normalizer is needed")
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.first, self.later, self.again, self.marks = {}, {}, set(), {"": b""}
+        self.shown = dict(enumerate(byte_characters()))
+
+    def _merged(self, match: str) -> bytes:
+        """The ids of one match of the pattern: its bytes as characters, merged by the model."""
+        tokens = self.model.tokenize(match.encode("utf-8").decode("latin-1").translate(self.shown))
+        return np.array([t.id for t in tokens], "<u4").tobytes()
+
+    def _new_later(self, known: dict[str, bytes], new: list[str]) -> None:
+        """Chunks that follow a space. Words and the marks after them are looked up apart."""
+        others = []
+        for chunk in new:
+            found = _WORD.fullmatch(chunk)
+            if not found:
+                others.append(chunk)
+                continue
+            word, marks = found.groups()
+            ids = known.get(word)
+            if ids is None:
+                ids = known[word] = self._merged(" " + word)
+            if marks:
+                after = self.marks.get(marks)
+                if after is None:
+                    after = self._merged(marks)
+                    if len(self.marks) < REMEMBERED:
+                        self.marks[marks] = after
+                known[chunk] = ids + after
+        self._encoded(known, others, " ")
+
+    def _encoded(self, known: dict[str, bytes], new: list[str], before: str) -> None:
         for start in range(0, len(new), 4096):
             part = new[start : start + 4096]
             found = self.tokenizer.encode_batch_fast([before + x for x in part], add_special_tokens=False)
             for chunk, encoding in zip(part, found, strict=True):
                 known[chunk] = np.array(encoding.ids, "<u4").tobytes()
 
+    def _learn_later(self, chunks: set[str]) -> None:
+        known = self.later
+        new = chunks.difference(known)
+        self.again.update(chunks.difference(new))
+        if len(known) + len(new) > REMEMBERED:
+            kept = {x: known[x] for x in self.again} if len(self.again) < REMEMBERED // 2 else {}
+            known.clear()
+            known.update(kept)
+            self.again.clear()
+            new = chunks.difference(known)
+        self._new_later(known, list(new))
+
+    def _learn_first(self, chunks: set[str]) -> None:
+        if len(self.first) > REMEMBERED // 8:
+            self.first.clear()
+        self._encoded(self.first, list(chunks.difference(self.first)), "")
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         heads, rests, seen = [], [], set()
         for text in texts:
@@ -110,8 +156,8 @@ class ChunkEncoder:
             heads.append(parts[0])
             rests.append(parts[1:])
             seen.update(rests[-1])
-        self._learn(self.first, set(heads), "")
-        self._learn(self.later, seen, " ")
+        self._learn_first(set(heads))
+        self._learn_later(seen)
         first, later = self.first, self.later.__getitem__
         return [first[head] + b"".join(map(later, rest)) for head, rest in zip(heads, rests, strict=True)]
 

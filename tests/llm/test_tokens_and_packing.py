@@ -27,7 +27,7 @@ def public_encoding():
 
 def random_texts(n):
     dice = random.Random(5)
-    letters = "abz  \n\t.,'!0159éßñ日😀 ́ 　"
+    letters = "abz%$×÷ÿ \n\t.,'!0159éßñ日😀 ́ 　"
     return ["".join(dice.choice(letters) for _ in range(dice.randrange(60))) for _ in range(n)]
 
 
