@@ -31,7 +31,7 @@ from kessan.llm.word_hashes import gram_hashes, gram_sums, sliding_minimum, word
 from kessan.session import written
 
 #: Words of an anchor; bytes of text handled at a time (a longer text alone).
-GRAM, STEP_BYTES = 8, 4 << 20
+GRAM, STEP_BYTES = 8, 1 << 20
 
 
 def _steps(texts: list[str | None]) -> Iterator[tuple[int, list[bytes]]]:
