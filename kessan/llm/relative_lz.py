@@ -167,14 +167,14 @@ def factors(docs: DataFrame, window: int, gram: int = GRAM) -> DataFrame:
         anchors.filter("n > 1").select("anchor", (F.col("low") == F.col("high")).alias("alike")), "anchors"
     )
     phrase = written(found.join(known, "anchor"), "phrases")
-    alike, mixed = phrase.filter("alike"), phrase.filter("NOT alike")
     distinct = written(
-        mixed.groupBy("anchor", "whole").agg(
+        phrase.filter("NOT alike").groupBy("anchor", "whole").agg(
             F.count(F.lit(1)).alias("weight"), F.min(F.struct("key", "crc", "first", "count")).alias("one")
         ),
         "distinct-phrases",
     )
-    again = mixed.join(distinct.filter("weight > 1").select("anchor", "whole"), ["anchor", "whole"])
+    copied = distinct.filter("weight > 1").select("anchor", "whole", F.lit(True).alias("copied"))
+    full = phrase.join(copied, ["anchor", "whole"], "left").filter("alike OR copied")
     # Factor boundaries: each distinct phrase shows its windows once, with the weight of its copies.
     todo = _by_document(distinct.select("one.*", "anchor", "weight"), "first", "count", "anchor", "weight")
     window_rows = written(_windows(_with_list(docs, todo, "inner"), window), "windows")
@@ -184,8 +184,7 @@ def factors(docs: DataFrame, window: int, gram: int = GRAM) -> DataFrame:
     )
     edges = window_rows.filter("weight = 1").join(repeated, ["anchor", "hash"])
     return (
-        alike.select("key", "crc", "first", "count")
-        .unionByName(again.select("key", "crc", "first", "count"))
+        full.select("key", "crc", "first", "count")
         .unionByName(edges.select("key", "crc", "first", F.lit(1).alias("count")))
     )
 
