@@ -12,7 +12,7 @@ from pyspark.sql import window as W
 from kessan.functions import filters
 from kessan.functions.numbers import normalize_value
 from kessan.small import INT, TEXT, small_table
-from kessan.vocab import period_contexts, rule_statement, vocab_keys
+from kessan.vocab import period_contexts, vocab_keys
 
 #: Rows that agree on these are copies of one fact.
 FACT_KEYS = ("element", "context", "rel_year", "consol", "period_type")
@@ -28,35 +28,19 @@ def unique_facts(facts: DataFrame) -> DataFrame:
     return facts.groupBy("doc_id", *FACT_KEYS).agg(F.min("value").alias("value"))
 
 
-def leaf_facts(facts: DataFrame, vocab: DataFrame, by_rule: bool = True) -> DataFrame:
+def leaf_facts(facts: DataFrame, vocab: DataFrame) -> DataFrame:
     """Facts of vocabulary elements in statement periods, consolidated basis only.
 
     One equality join with the vocabulary and one with the period contexts serve all
-    statements at once; both tables are small and fixed. With ``by_rule`` an element
-    outside the vocabulary may still be a summary figure or a text block by its name.
+    statements at once; both tables are small and fixed. A fact whose element feeds several
+    lines gives a row for each.
     """
     named = facts.filter(
         filters.is_consolidated(F.col("consol"), F.col("context"))
         & F.col("element").contains(":")
     ).withColumn("local_name", filters.local_name(F.col("element")))
     keys = vocab_keys(vocab).select("local_name", "statement", "ord", "item")
-    if by_rule:
-        found = named.join(keys, "local_name", "left")
-        ruled = rule_statement(F.col("local_name"))
-        rows = found.select(
-            "doc_id",
-            *FACT_KEYS,
-            F.coalesce("statement", ruled).alias("statement"),
-            F.coalesce("ord", F.lit(0)).alias("ord"),
-            F.when(F.col("statement").isNull(), F.regexp_replace("local_name", "IFRS$", "")).alias("leaf"),
-            F.when(F.col("statement").isNull(), F.col("label")).otherwise(F.col("item")).alias("item"),
-            "value",
-        ).filter(F.col("statement").isNotNull())
-    else:
-        rows = named.join(keys, "local_name").select(
-            "doc_id", *FACT_KEYS, "statement", "ord",
-            F.lit(None).cast("string").alias("leaf"), "item", "value",
-        )
+    rows = named.join(keys, "local_name").select("doc_id", *FACT_KEYS, "statement", "ord", "item", "value")
     return rows.join(period_contexts(facts.sparkSession), "context")
 
 
@@ -67,7 +51,7 @@ def single_values(leaves: DataFrame) -> DataFrame:
     fact if and only if the smallest and the largest fact key agree.
     """
     key = F.struct(*FACT_KEYS)
-    grouped = leaves.groupBy(*LEAF_KEYS, "ord", "leaf", "period", "period_ord").agg(
+    grouped = leaves.groupBy(*LEAF_KEYS, "ord", "period", "period_ord").agg(
         F.min(key).alias("low"), F.max(key).alias("high"), F.min("value").alias("value")
     )
     return grouped.filter(F.col("low").eqNullSafe(F.col("high"))).drop("low", "high")
@@ -80,7 +64,7 @@ def last_leaf(values: DataFrame) -> DataFrame:
     One window serves both; it holds at most the periods of the leaves of one label.
     """
     is_meta = F.col("statement") == "META"
-    rank = F.struct(F.col("ord"), F.col("leaf"), F.when(is_meta, F.col("period_ord")).alias("last"))
+    rank = F.struct(F.col("ord"), F.when(is_meta, F.col("period_ord")).alias("last"))
     best = F.max("rank").over(W.Window.partitionBy(*LEAF_KEYS))
     kept = values.withColumn("rank", rank).withColumn("best", best).filter(
         F.col("rank").eqNullSafe(F.col("best"))

@@ -9,8 +9,6 @@ from pyspark.sql import window as W
 SEED = "42"
 #: Hex digits of the hash that name a bucket: 65,536 buckets per group.
 BUCKET_DIGITS = 4
-#: Most rows that are merged in one task.
-TOP_N = 100_000
 
 
 def hash_order(key: Column, seed: str = SEED) -> Column:
@@ -30,9 +28,11 @@ def first_per_group(
     return df.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n).drop("rank")
 
 
-def positions(df: DataFrame, key: str, group: tuple[str, ...] = (), seed: str = SEED) -> DataFrame:
+def positions(
+    df: DataFrame, key: str, group: tuple[str, ...] = (), seed: str = SEED, upto: int | None = None
+) -> DataFrame:
     """``df`` with ``position``: place of the row in hash order within its group, from 1, and
-    ``group_size``.
+    ``group_size``. With ``upto`` only rows up to that place come out.
 
     The order is cut into buckets by the first digits of the hash. Buckets are counted,
     the counts are summed up over buckets (at most 65,536 rows per group), and rows are
@@ -50,23 +50,20 @@ def positions(df: DataFrame, key: str, group: tuple[str, ...] = (), seed: str =
         (F.sum("_n").over(along) - F.col("_n")).alias("_before"),
         F.sum("_n").over(whole).alias("group_size"),
     )
+    if upto is not None:  # whole buckets beyond the last place are dropped before the ranking
+        starts = starts.filter(F.col("_before") < upto)
     within = W.Window.partitionBy(*group, "_b").orderBy("_h", key)
-    return (
+    ranked = (
         hashed.join(starts, [*group, "_b"])
         .withColumn("position", F.col("_before") + F.row_number().over(within))
         .drop("_h", "_b", "_before")
     )
+    return ranked if upto is None else ranked.filter(F.col("position") <= upto)
 
 
 def take(df: DataFrame, key: str, n: int, seed: str = SEED) -> DataFrame:
-    """The first ``n`` rows in hash order.
-
-    A moderate ``n`` is a top-n: each task keeps ``n`` rows and one task merges them. Beyond
-    ``TOP_N`` rows are counted and ranked by bucket instead, so that no task sees them all.
-    """
-    if n <= TOP_N:
-        return df.orderBy(hash_order(F.col(key), seed), key).limit(n)
-    return positions(df, key, seed=seed).filter(F.col("position") <= n).drop("position", "group_size")
+    """The first ``n`` rows in hash order, cut by the counts of hash buckets: no task sees them all."""
+    return positions(df, key, seed=seed, upto=n).drop("position", "group_size")
 
 
 def balance(

@@ -20,7 +20,7 @@ START_ITEM = "当事業年度開始日"
 
 
 def statements(
-    facts: DataFrame, vocab: DataFrame | None = None, only: Sequence[str] = STATEMENTS, by_rule: bool = True
+    facts: DataFrame, vocab: DataFrame | None = None, only: Sequence[str] = STATEMENTS
 ) -> DataFrame:
     """``doc_id, statement, ord, item, period, period_ord, value`` of every filing.
 
@@ -31,8 +31,7 @@ def statements(
     vocab = builtin_vocab(spark) if vocab is None else vocab
     gate = unconsolidated(facts)
     vocab = vocab.filter(F.col("statement").isin(*only))
-    leaves = leaf_facts(facts, vocab, by_rule and bool({"SUMMARY", "TEXT"} & set(only)))
-    values = single_values(leaves.filter(F.col("statement").isin(*only)))
+    values = single_values(leaf_facts(facts, vocab))
     return last_leaf(values).join(gate, "doc_id", "left_anti")
 
 

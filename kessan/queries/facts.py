@@ -133,7 +133,7 @@ def _(t):
     "singles",
 )
 def _(t):
-    leaves = facts.leaf_facts(t.facts, builtin_vocab(t.spark).filter("statement = 'BS'"), by_rule=False)
+    leaves = facts.leaf_facts(t.facts, builtin_vocab(t.spark).filter("statement = 'BS'"))
     return facts.single_values(leaves).select("doc_id", "item", "ord", "period", "value")
 
 
@@ -143,13 +143,13 @@ def _(t):
     "body",
 )
 def _(t):
-    leaves = facts.leaf_facts(t.facts, builtin_vocab(t.spark).filter("statement = 'PL'"), by_rule=False)
+    leaves = facts.leaf_facts(t.facts, builtin_vocab(t.spark).filter("statement = 'PL'"))
     return facts.last_leaf(facts.single_values(leaves)).select("doc_id", "item", "ord", "period", "value")
 
 
 @query("header_items", "A12", "SELECT doc_id, item, value FROM meta", "meta")
 def _(t):
-    leaves = facts.leaf_facts(t.facts, builtin_vocab(t.spark).filter("statement = 'META'"), by_rule=False)
+    leaves = facts.leaf_facts(t.facts, builtin_vocab(t.spark).filter("statement = 'META'"))
     return facts.last_leaf(facts.single_values(leaves)).select("doc_id", "item", "value")
 
 

@@ -294,7 +294,7 @@ def _(t):
 
 @query(
     "pairs_with_facts", "J5",
-    "SELECT prev_doc, cur_doc FROM pairs WHERE prev_doc IN (SELECT doc_id FROM line_facts) AND cur_doc IN (SELECT doc_id FROM line_facts)",
+    "SELECT prev_doc, cur_doc FROM pairs WHERE prev_doc IN (SELECT DISTINCT doc_id FROM line_facts) AND cur_doc IN (SELECT DISTINCT doc_id FROM line_facts)",
     "pairs line_facts",
 )
 def _(t):

@@ -36,25 +36,22 @@ add_cte(
 add_cte(
     "leaves",
     "SELECT d.doc_id, d.element, d.context, d.rel_year, d.consol, d.period_type, d.value, p.period, p.period_ord, "
-    "COALESCE(v.statement, CASE WHEN regexp_replace(d.local_name, 'IFRS$', '') LIKE '%SummaryOfBusinessResults' THEN 'SUMMARY' "
-    "WHEN regexp_replace(d.local_name, 'IFRS$', '') LIKE '%TextBlock' THEN 'TEXT' END) AS statement, "
-    "COALESCE(v.ord, 0) AS ord, CASE WHEN v.statement IS NULL THEN regexp_replace(d.local_name, 'IFRS$', '') END AS leaf, "
-    "COALESCE(v.item, d.label) AS item "
+    "v.statement, v.ord, v.item "
     "FROM (SELECT *, regexp_extract(element, '[^:]*$') AS local_name FROM dedup WHERE contains(element, ':') "
     "AND NOT contains(consol, '個別') AND context NOT LIKE '%NonConsolidatedMember') d "
-    "JOIN periods p ON d.context = p.context LEFT JOIN vocab v ON d.local_name = v.local_name",
+    "JOIN periods p ON d.context = p.context JOIN vocab v ON d.local_name = v.local_name",
     "dedup", "vocab", "periods",
 )
 add_cte(
     "singles",
-    "SELECT doc_id, statement, item, ord, leaf, period, period_ord, min(value) AS value FROM leaves "
-    "WHERE statement IS NOT NULL GROUP BY doc_id, statement, item, ord, leaf, period, period_ord HAVING count(*) = 1",
+    "SELECT doc_id, statement, item, ord, period, period_ord, min(value) AS value FROM leaves "
+    "GROUP BY doc_id, statement, item, ord, period, period_ord HAVING count(*) = 1",
     "leaves",
 )
 add_cte(
     "body",
     "SELECT * FROM singles WHERE statement <> 'META' QUALIFY dense_rank() OVER "
-    "(PARTITION BY doc_id, statement, item ORDER BY ord DESC, leaf DESC) = 1",
+    "(PARTITION BY doc_id, statement, item ORDER BY ord DESC) = 1",
     "singles",
 )
 add_cte(
@@ -67,7 +64,7 @@ add_cte("gate", "SELECT doc_id FROM meta WHERE item = '連結決算の有無' AN
 add_cte(
     "statements",
     "SELECT * FROM (SELECT doc_id, statement, ord, item, period, period_ord, value FROM body UNION ALL "
-    "SELECT doc_id, statement, ord, item, NULL, NULL, value FROM meta) WHERE doc_id NOT IN (SELECT doc_id FROM gate)",
+    "SELECT doc_id, statement, ord, item, NULL, NULL, value FROM meta) s WHERE NOT EXISTS (FROM gate WHERE gate.doc_id = s.doc_id)",
     "body", "meta", "gate",
 )
 NUMBER = r"CASE WHEN regexp_matches({0}, '^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$') THEN TRY_CAST({0} AS DOUBLE) END"

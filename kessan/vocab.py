@@ -1,9 +1,8 @@
 """Statement vocabulary: which element feeds which statement line, and the period contexts.
 
-The vocabulary is a parameter. The built-in one holds the header, balance sheet, income
-and cash-flow lines; summary figures and text blocks, whose element names carry their
-class as a suffix, are recognised by rule and labelled by the filing's own label column.
-``read_vocab`` takes a full vocabulary file and then no rule is used.
+The vocabulary is a parameter. The built-in one holds the header, the summary figures, the text
+blocks, and the balance sheet, income and cash-flow lines; ``read_vocab`` takes another from a
+file. An element may feed lines of several statements.
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ import csv
 from functools import cache
 from importlib import resources
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kessan.small import INT, TEXT, small_table
@@ -42,9 +41,6 @@ CONTEXT_FORMS = (
 # Fixed value: an element matches a vocabulary entry with or without this ending.
 IFRS = "IFRS"
 
-# Name endings that carry the class of an element.
-SUFFIX_RULES = {"SUMMARY": "SummaryOfBusinessResults", "TEXT": "TextBlock"}
-
 
 @cache
 def _builtin_rows() -> tuple[tuple[str, int, str, str], ...]:
@@ -88,13 +84,3 @@ def period_contexts(spark: SparkSession, periods: tuple[str, ...] = PERIODS) ->
         for form in CONTEXT_FORMS
     ]
     return small_table(spark, rows, period=TEXT, period_ord=INT, context=TEXT)
-
-
-def rule_statement(local_name: Column) -> Column:
-    """SUMMARY or TEXT by the ending of the element name, else null."""
-    base = F.regexp_replace(local_name, f"{IFRS}$", "")
-    rule = None
-    for statement, suffix in SUFFIX_RULES.items():
-        hit = base.endswith(suffix)
-        rule = F.when(hit, statement) if rule is None else rule.when(hit, statement)
-    return rule

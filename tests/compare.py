@@ -80,7 +80,7 @@ def main() -> int:
     spark.sparkContext.setLogLevel("ERROR")
     con, sql, bad = duck(sf_dir), entry.oracle_sql(), 0
     for name, fn in entry.queries().items():
-        if chosen and name not in chosen and fn.__module_name__ not in chosen:
+        if chosen and name not in chosen and getattr(fn, "__module_name__", "") not in chosen:
             continue
         try:
             ok, note = compare(spark, con, sf_dir, name, fn, sql.get(name))

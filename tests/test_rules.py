@@ -88,23 +88,33 @@ def test_empty_value_of_a_single_fact_is_kept_as_null(parse):
     assert text.pl == '{"売上高":{"CurrentYear":null}}' and text.bs == "{}" and text.meta == "{}"
 
 
-def test_summary_and_text_by_name_with_the_filing_own_label(parse):
+def test_summary_and_text_from_the_dictionary(parse):
     found = parse(
         a=[
-            fact("x:NetSalesSummaryOfBusinessResults", value="9", label="売上高"),
-            fact("x:BusinessRisksTextBlock", "FilingDateInstant", 'line "one"\nline two\t', label="事業等のリスク"),
+            fact("x:NetAssetsSummaryOfBusinessResults", "CurrentYearInstant", "9", label="own"),
+            fact("x:NetCashProvidedByUsedInInvestingActivitiesSummaryOfBusinessResults", value="8", label="own"),
+            fact("x:NumberOfEmployees", "CurrentYearInstant", "7", label="own"),
+            fact("x:BusinessRisksTextBlock", "FilingDateInstant", 'line "one"\nline two\t', label="own"),
+            fact("x:NoteOnIndependentAuditFinancialInformation", "FilingDateInstant", "n", label="own"),
+            fact("x:SomeOtherTextBlock", "FilingDateInstant", "unlisted", label="own"),
         ]
     )
     text = sections(found).first()
-    assert text.summary == '{"売上高":{"CurrentYear":"9"}}'
-    assert text.text == '{"事業等のリスク":{"FilingDate":"line \\"one\\"\\nline two\\t"}}'
+    assert text.summary == (
+        '{"純資産額":{"CurrentYear":"9"},"投資活動によるキャッシュ・フロー":{"CurrentYear":"8"},"従業員数":{"CurrentYear":"7"}}'
+    )
+    assert text.text == (
+        '{"事業等のリスク":{"FilingDate":"line \\"one\\"\\nline two\\t"},"監査証明について、経理の状況":{"FilingDate":"n"}}'
+    )
+    assert "unlisted" not in "".join(str(x) for x in text)
+    assert {r.statement for r in found.collect()} >= {"SUMMARY", "BS", "CF", "TEXT"}
 
 
-def test_a_vocabulary_file_replaces_rules_and_labels(spark, corpus, tmp_path):
+def test_a_vocabulary_file_replaces_the_builtin_one(spark, corpus, tmp_path):
     (tmp_path / "vocab.csv").write_text("statement,ord,element,item\nSUMMARY,1,NetSalesSummaryOfBusinessResults,売上\n", "utf-8")
     corpus.add("E1", "a", [fact("x:NetSalesSummaryOfBusinessResults"), fact("x:BusinessRisksTextBlock")])
     vocab = read_vocab(spark, str(tmp_path / "vocab.csv"))
-    found = statements(read_fact_files(spark, corpus.pattern), vocab, by_rule=False)
+    found = statements(read_fact_files(spark, corpus.pattern), vocab)
     assert rows(found, "statement", "item") == [("SUMMARY", "売上")]
 
 
@@ -119,7 +129,7 @@ def test_builtin_vocabulary_repeats_labels_as_it_should(spark):
         r.statement: (r.n, r.labels)
         for r in builtin_vocab(spark).groupBy("statement").agg(F.count("*").alias("n"), F.countDistinct("item").alias("labels")).collect()
     }
-    assert counts == {"META": (12, 12), "BS": (95, 89), "PL": (41, 37), "CF": (42, 39)}
+    assert counts == {"META": (12, 12), "SUMMARY": (27, 27), "TEXT": (50, 50), "BS": (95, 89), "PL": (41, 37), "CF": (42, 39)}
 
 
 def test_header_value_is_the_last_in_file_order(spark, corpus):
