@@ -5,7 +5,9 @@ Filings are chosen on narrow columns first; only the chosen ones are parsed into
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from importlib import resources
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kessan.functions import filters
@@ -18,6 +20,7 @@ from kessan.operators.joins import amended_originals, explanations, pairs_with_f
 from kessan.operators.select import latest_filing, year_pairs
 from kessan.plans.statements import ENTITY_ITEM, START_ITEM, sections, statements, unconsolidated
 from kessan.session import written
+from kessan.small import TEXT, small_table
 
 SECTIONS = ("meta", "summary", "bs", "pl", "cf", "text")
 
@@ -143,18 +146,25 @@ def earnings_set(
 # --- industry ----------------------------------------------------------------------------
 
 
+def shipped_tickers(spark: SparkSession) -> DataFrame:
+    """The tickers of ``resources/excluded_tickers.txt``, a fixed list, as ``ticker``."""
+    lines = resources.files("kessan.resources").joinpath("excluded_tickers.txt").read_text("utf-8").splitlines()
+    return small_table(spark, [(x,) for x in lines if x and not x.startswith("#")], ticker=TEXT)
+
+
 def industry_candidates(
     filings: DataFrame, companies: DataFrame, excluded_tickers: DataFrame | None = None
 ) -> DataFrame:
     """The latest filing of each company with its industry group. Companies not obliged to
-    report, without a security code, or on the list of excluded tickers are left out; an
-    industry without a group stays, as ``invalid``."""
+    report, without a security code, or on the list of excluded tickers (by default the shipped
+    one) are left out; an industry without a group stays, as ``invalid``."""
     joined = with_company(latest_filing(filings), companies.select("entity_id", "industry", "sec_code"))
     kept = joined.filter(
         (F.coalesce("industry", F.lit("")) != NOT_OBLIGED) & (F.coalesce("sec_code", F.lit("")) != "")
     ).withColumn("ticker", ticker(F.col("sec_code")))
-    if excluded_tickers is not None:
-        kept = without_tickers(kept, excluded_tickers)
+    if excluded_tickers is None:
+        excluded_tickers = shipped_tickers(filings.sparkSession)
+    kept = without_tickers(kept, excluded_tickers)
     grouped = recode(kept, "industry", INDUSTRY_GROUPS, INVALID, "industry_group")
     return grouped.select(
         F.col("docID").alias("doc_id"), "edinetCode", F.col("industry_group").alias("industry")

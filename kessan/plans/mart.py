@@ -7,14 +7,13 @@ from pyspark.sql import functions as F
 
 from kessan.operators.joins import near_matches
 from kessan.operators.select import pick
-from kessan.operators.tables import MART_ITEMS, both_statements, period_pivot, statement_rows, with_ratios, with_scaled
+from kessan.operators.tables import MART_ITEMS, period_pivot, statement_rows, with_ratios, with_scaled
 from kessan.plans.statements import statements
 
 
 def mart(rows: DataFrame) -> DataFrame:
     """``doc_id, period`` and the five figures of balance sheet and income statement."""
-    parts = both_statements(rows.filter("statement = 'BS'"), rows.filter("statement = 'PL'"))
-    return period_pivot(parts, MART_ITEMS)
+    return period_pivot(rows.filter("statement IN ('BS', 'PL')"), MART_ITEMS)
 
 
 def mart_of_facts(facts: DataFrame, vocab: DataFrame | None = None) -> DataFrame:

@@ -196,7 +196,7 @@ def _(t):
     "companies listing",
 )
 def _(t):
-    tickers = t.listing.filter("market = 'PRO Market'").select(F.col("code").alias("ticker"))
+    tickers = pro_market(t)
     keyed = t.companies.select("entity_id", ticker(F.col("sec_code")).alias("ticker"))
     return companies.without_tickers(keyed, tickers)
 
@@ -215,14 +215,13 @@ steps.add_cte(
 )
 
 
-def industry_examples(t):
-    tickers = t.listing.filter("market = 'PRO Market'").select(F.col("code").alias("ticker"))
-    return labelled_sets.industry_examples(t.filings, t.companies, tickers)
+def pro_market(t):
+    return t.listing.filter("market = 'PRO Market'").select(F.col("code").alias("ticker"))
 
 
 @query("industry_sample", "W10", "SELECT doc_id, edinetCode AS \"edinetCode\", industry FROM industry_sample", "industry_sample")
 def _(t):
-    return industry_examples(t)
+    return labelled_sets.industry_examples(t.filings, t.companies, pro_market(t))
 
 
 @query(

@@ -435,7 +435,7 @@ steps.add_cte(
 steps.add_cte(
     "negative",
     f"SELECT docID, edinetCode FROM filings WHERE edinetCode IN (SELECT edinetCode FROM (SELECT DISTINCT edinetCode FROM filings ORDER BY "
-    f"{steps.HASH.format('edinetCode')}, edinetCode LIMIT 800) WHERE edinetCode NOT IN (SELECT edinetCode FROM positive) ORDER BY {steps.HASH.format('edinetCode')}, edinetCode LIMIT 400) "
+    f"{steps.HASH.format('edinetCode')}, edinetCode LIMIT 1400) WHERE edinetCode NOT IN (SELECT edinetCode FROM positive) ORDER BY {steps.HASH.format('edinetCode')}, edinetCode LIMIT 700) "
     f"QUALIFY row_number() OVER (PARTITION BY edinetCode ORDER BY {steps.HASH.format('docID')}, docID) = 1",
     "filings", "positive",
 )
@@ -445,7 +445,7 @@ steps.add_cte(
 def _(t):
     docs = labelled_sets.fraud_filings(t.filings, t.judgements).select(F.col("docID").alias("doc_id"))
     codes = labelled_sets.fraud_entities(t.header_facts, docs)
-    sample = labelled_sets.other_filings(t.filings, codes, 400)
+    sample = labelled_sets.other_filings(t.filings, codes)
     return sample.select("edinetCode", "docID")
 
 

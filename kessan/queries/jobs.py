@@ -9,7 +9,7 @@ from kessan.plans import accruals, corpus_audit, exports, filing_index, labelled
 from kessan.plans.statements import statements
 from kessan.queries import steps
 from kessan.queries.aggregates import accrual_companies
-from kessan.queries.companies import industry_examples
+from kessan.queries.companies import pro_market
 from kessan.queries.registry import query
 from kessan.session import written
 
@@ -387,7 +387,7 @@ steps.add_cte(
 )
 steps.add_cte(
     "earning_examples",
-    f"SELECT * FROM earning_labels ORDER BY {steps.HASH.format('edinetCode')}, edinetCode LIMIT 100",
+    f"SELECT * FROM earning_labels ORDER BY {steps.HASH.format('edinetCode')}, edinetCode LIMIT 1000",
     "earning_labels",
 )
 _SECTIONS = "s.meta, s.summary, s.bs, s.pl, s.cf, s.text"
@@ -417,7 +417,7 @@ _EARNINGS = (
 
 @query("earnings_set", "E9 W12 W16", _EARNINGS, "earning_examples section_rows")
 def _(t):
-    return labelled_sets.earnings_set(t.filings, t.facts, 100)
+    return labelled_sets.earnings_set(t.filings, t.facts)
 
 
 @query(
@@ -427,7 +427,7 @@ def _(t):
     "earning_examples section_rows earning_split",
 )
 def _(t):
-    return labelled_sets.earnings_set(t.filings, t.facts, 100, balanced=True).select("doc_id", "label", "split")
+    return labelled_sets.earnings_set(t.filings, t.facts, balanced=True).select("doc_id", "label", "split")
 
 
 steps.add_cte("earning_split", _EARNINGS, "earning_examples", "section_rows")
@@ -439,10 +439,7 @@ steps.add_cte("earning_split", _EARNINGS, "earning_examples", "section_rows")
     "industry_sample section_rows",
 )
 def _(t):
-    chosen = written(industry_examples(t), "industry-examples")
-    rows = labelled_sets.parsed_sections(t.facts, chosen).join(chosen, "doc_id")
-    path = F.concat("edinetCode", F.lit("/"), "doc_id", F.lit(".tsv"))
-    return rows.select(*labelled_sets.SECTIONS, "industry", "edinet_code", "doc_id", path.alias("file_path"))
+    return labelled_sets.industry_set(t.filings, t.facts, t.companies, pro_market(t))
 
 
 steps.add_cte(
@@ -459,7 +456,7 @@ steps.add_cte(
     "misstatement_examples",
 )
 def _(t):
-    return labelled_sets.misstatement_examples(t.filings, t.facts, t.judgements, 400)
+    return labelled_sets.misstatement_examples(t.filings, t.facts, t.judgements)
 
 
 steps.add_cte(
@@ -477,7 +474,7 @@ steps.add_cte(
     "shaped",
 )
 def _(t):
-    return labelled_sets.misstatement_set(t.filings, t.facts, t.judgements, 400)
+    return labelled_sets.misstatement_set(t.filings, t.facts, t.judgements)
 
 
 # --- filing index --------------------------------------------------------------------------

@@ -37,8 +37,9 @@ def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def write_filing_metadata(filings: DataFrame, path: str, mode: str = "append") -> None:
     """Filing metadata by report type and company."""
-    # A folder's rows meet in one task, so that a folder is one file and not one per task.
-    keyed = filings.withColumn("entity_id", F.col("edinetCode")).repartition("doc_type", "entity_id")
+    # A folder's rows meet, so that a folder is one file and not one per task; Spark splits the
+    # partition of a company that has far more rows than others.
+    keyed = filings.withColumn("entity_id", F.col("edinetCode")).hint("rebalance", "doc_type", "entity_id")
     keyed.write.mode(mode).partitionBy("doc_type", "entity_id").option(
         "ignoreNullFields", "false"
     ).json(path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -75,7 +76,7 @@ def main() -> int:
     chosen = sys.argv[2:]
     spark = build_session(
         master="local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="12g",
-        spark__ui__showConsoleProgress="false",
+        spark__ui__showConsoleProgress="false", spark__checkpoint__dir=tempfile.mkdtemp(prefix="kessan-compare-"),
     )
     spark.sparkContext.setLogLevel("ERROR")
     con, sql, bad = duck(sf_dir), entry.oracle_sql(), 0

@@ -113,3 +113,19 @@ def test_document_lists_are_cut_into_parts_for_large_companies(spark):
 def test_sums_of_groups_hold(items):
     data, df = items
     assert sampling.positions(df, "key", ("grp",)).agg(F.sum(F.lit(1))).first()[0] == len(data)
+
+
+def test_industry_candidates_leave_out_the_shipped_tickers(spark):
+    from kessan.plans import labelled_sets
+
+    first = labelled_sets.shipped_tickers(spark).first()["ticker"]
+    columns = "edinetCode string, docID string, submitDateTime string, periodStart string, periodEnd string, formCode string, ordinanceCode string"
+    filings = spark.createDataFrame(
+        [(f"E{i}", f"S{i}", "2020-06-01 10:00", "2019-04-01", "2020-03-31", "030000", "010") for i in (1, 2)], columns
+    )
+    companies = spark.createDataFrame(
+        [("E1", "建設業", first + "0"), ("E2", "建設業", "99990")], "entity_id string, industry string, sec_code string"
+    )
+    assert [r.doc_id for r in labelled_sets.industry_candidates(filings, companies).collect()] == ["S2"]
+    none = labelled_sets.shipped_tickers(spark).limit(0)
+    assert labelled_sets.industry_candidates(filings, companies, none).count() == 2
