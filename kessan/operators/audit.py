@@ -8,6 +8,8 @@ from pyspark.sql import window as W
 
 from kessan.functions import filters
 from kessan.functions.dates import day
+from kessan.session import written
+from kessan.small import LONG, TEXT, small_table
 
 
 def value_counts(df: DataFrame, *columns: str) -> DataFrame:
@@ -46,16 +48,16 @@ def flagged_years(years: DataFrame, flagged: tuple[int, ...] = (2009, 2010, 2011
     return years.filter(F.col("year").isin(*flagged))
 
 
-def document_lists(
-    files: DataFrame, per_row: int = 10_000, prefix: int = 6
-) -> DataFrame:
-    """Sorted, comma-joined filing ids per company with their number.
+def document_lists(files: DataFrame) -> DataFrame:
+    """``entity_id, place, doc_id, tsv_count``: the filing ids of each company in order, with
+    their places from 1 and their number.
 
-    A company with more than ``per_row`` filings has several rows, numbered by ``part`` in
-    id order, so that no row and no task holds an unbounded list. Places are counted by id
-    prefix first and ranked only within a prefix.
+    Ids are dealt to tasks by ranges that Spark takes from the data, and places are counted by
+    range first and ranked only within one, so a company with a third of all filings is no task
+    of its own.
     """
-    keyed = files.select("entity_id", "doc_id", F.substring("doc_id", 1, prefix).alias("_p"))
+    ranges = files.select("entity_id", "doc_id").repartitionByRange("entity_id", "doc_id")
+    keyed = written(ranges.withColumn("_p", F.spark_partition_id()), "document-ids")
     counts = keyed.groupBy("entity_id", "_p").agg(F.count("*").alias("_n"))
     along = W.Window.partitionBy("entity_id").orderBy("_p")
     starts = counts.select(
@@ -64,20 +66,16 @@ def document_lists(
         F.sum("_n").over(W.Window.partitionBy("entity_id")).alias("tsv_count"),
     )
     within = W.Window.partitionBy("entity_id", "_p").orderBy("doc_id")
-    placed = keyed.join(starts, ["entity_id", "_p"]).withColumn(
-        "_at", F.col("_before") + F.row_number().over(within) - 1
-    )
-    part = F.floor(F.col("_at") / per_row).cast("int").alias("part")
-    return placed.groupBy("entity_id", part).agg(
-        F.max("tsv_count").alias("tsv_count"),
-        F.array_join(F.array_sort(F.collect_list("doc_id")), ",").alias("doc_ids"),
-    )
+    place = (F.col("_before") + F.row_number().over(within)).alias("place")
+    return keyed.join(starts, ["entity_id", "_p"]).select("entity_id", place, "doc_id", "tsv_count")
 
 
 def run_counters(**outputs: DataFrame) -> DataFrame:
-    """``kind, n``: rows per named output; an empty output counts 0."""
-    total = None
+    """``kind, n``: rows per named output; an empty output counts 0. One aggregation counts all."""
+    kinds = None
     for kind, df in outputs.items():
-        one = df.agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), "n")
-        total = one if total is None else total.unionByName(one)
-    return total
+        spark = df.sparkSession
+        rows = df.select(F.lit(kind).alias("kind"), F.lit(1).cast("bigint").alias("one"))
+        kinds = rows if kinds is None else kinds.unionByName(rows)
+    none = small_table(spark, [(kind, 0) for kind in outputs], kind=TEXT, one=LONG)
+    return kinds.unionByName(none).groupBy("kind").agg(F.sum("one").alias("n"))

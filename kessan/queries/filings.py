@@ -373,7 +373,8 @@ def _(t):
 
 @query(
     "document_lists", "A8 S11",
-    "SELECT edinetCode AS entity_id, 0 AS part, count(*) AS tsv_count, string_agg(docID, ',' ORDER BY docID) AS doc_ids FROM filings GROUP BY edinetCode",
+    "SELECT edinetCode AS entity_id, row_number() OVER (PARTITION BY edinetCode ORDER BY docID) AS place, docID AS doc_id, "
+    "count(*) OVER (PARTITION BY edinetCode) AS tsv_count FROM filings",
     "filings",
 )
 def _(t):

@@ -16,3 +16,4 @@ def small_table(spark: SparkSession, rows: list[tuple], **columns: pa.DataType)
 
 TEXT = pa.string()
 INT = pa.int32()
+LONG = pa.int64()

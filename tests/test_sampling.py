@@ -101,13 +101,12 @@ def test_adjacent_filings_and_pairs(spark):
     assert {(r.prev_doc, r.cur_doc) for r in select.year_pairs(df).collect()} == {("a", "b"), ("c", "d")}
 
 
-def test_document_lists_are_cut_into_parts_for_large_companies(spark):
-    data = [("hot", f"S{i:05d}") for i in range(95)] + [("E1", "S2"), ("E1", "S1")]
-    got = audit.document_lists(spark.createDataFrame(data, "entity_id string, doc_id string"), per_row=10, prefix=5).collect()
-    parts = {(r.entity_id, r.part): (r.tsv_count, r.doc_ids.split(",")) for r in got}
-    assert parts["E1", 0] == (2, ["S1", "S2"])
-    hot = [i for n in range(10) for i in parts["hot", n][1]]
-    assert hot == [f"S{i:05d}" for i in range(95)] and all(parts["hot", n][0] == 95 for n in range(10))
+def test_document_lists_number_the_ids_of_a_large_company(spark):
+    data = [("hot", f"S{i * 7 % 95:05d}") for i in range(95)] + [("E1", "S2"), ("E1", "S1")]
+    got = audit.document_lists(spark.createDataFrame(data, "entity_id string, doc_id string").repartition(5)).collect()
+    assert {(r.place, r.doc_id, r.tsv_count) for r in got if r.entity_id == "E1"} == {(1, "S1", 2), (2, "S2", 2)}
+    hot = sorted((r.place, r.doc_id) for r in got if r.entity_id == "hot")
+    assert hot == [(i + 1, f"S{i:05d}") for i in range(95)] and len(got) == 97
 
 
 def test_sums_of_groups_hold(items):
