@@ -98,16 +98,26 @@ class ChunkEncoder:
         self.tokenizer, self.model = tokenizer, tokenizer.model
         self.first, self.later, self.again, self.marks = {}, {}, set(), {"": b""}
         self.shown = dict(enumerate(byte_characters()))
+        self.space = self.shown[ord(" ")]
+        last = max(tokenizer.get_vocab(with_added_tokens=True).values(), default=-1)
+        self.packed = [i.to_bytes(4, "little") for i in range(last + 1)]
 
-    def _merged(self, match: str) -> bytes:
-        """The ids of one match of the pattern: its bytes as characters, merged by the model."""
-        tokens = self.model.tokenize(match.encode("utf-8").decode("latin-1").translate(self.shown))
-        return np.array([t.id for t in tokens], "<u4").tobytes()
+    def _merged(self, shown: str) -> bytes:
+        """The ids of one match of the pattern, given as the characters of its bytes."""
+        packed = self.packed
+        return b"".join([packed[t.id] for t in self.model.tokenize(shown)])
+
+    def _shown(self, match: str) -> str:
+        return match.encode("utf-8").decode("latin-1").translate(self.shown)
 
     def _new_later(self, known: dict[str, bytes], new: list[str]) -> None:
         """Chunks that follow a space. Words and the marks after them are looked up apart."""
-        others = []
+        others, space = [], self.space
         for chunk in new:
+            if chunk.isascii() and chunk.isalpha():  # these letters stand for themselves
+                if chunk not in known:
+                    known[chunk] = self._merged(space + chunk)
+                continue
             found = _WORD.fullmatch(chunk)
             if not found:
                 others.append(chunk)
@@ -115,11 +125,11 @@ class ChunkEncoder:
             word, marks = found.groups()
             ids = known.get(word)
             if ids is None:
-                ids = known[word] = self._merged(" " + word)
+                ids = known[word] = self._merged(space + word if word.isascii() else self._shown(" " + word))
             if marks:
                 after = self.marks.get(marks)
                 if after is None:
-                    after = self._merged(marks)
+                    after = self._merged(self._shown(marks))
                     if len(self.marks) < REMEMBERED:
                         self.marks[marks] = after
                 known[chunk] = ids + after
