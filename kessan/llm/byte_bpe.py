@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-#: Distinct chunks a worker remembers; when full, those it met once only are forgotten.
+#: Distinct chunks a worker remembers.
 REMEMBERED = 600_000
 #: Texts handled at a time inside an Arrow batch.
 STEP = 512
@@ -86,6 +86,25 @@ def file_tokenizer(path: str):
     return tokenizer
 
 
+class Remembered(dict):
+    """Results of ``compute`` by key, about ``most`` at a time: two generations, of which the older
+    goes when the newer is full. What is asked for again moves to the newer one."""
+
+    def __init__(self, compute, most: int):
+        super().__init__()
+        self.compute, self.half, self.older = compute, max(most // 2, 1), {}
+
+    def __missing__(self, key: str) -> bytes:
+        found = self.older.get(key)
+        if found is None:
+            found = self.compute(key)
+        if len(self) >= self.half:
+            self.older = dict(self)
+            self.clear()
+        self[key] = found
+        return found
+
+
 class ChunkEncoder:
     """Texts to little-endian unsigned 32-bit ids, chunk by chunk."""
 
@@ -96,7 +115,9 @@ class ChunkEncoder:
         if tokenizer.normalizer is not None:
             raise ValueError("a byte-level tokenizer without a normalizer is needed")
         self.tokenizer, self.model = tokenizer, tokenizer.model
-        self.first, self.later, self.again, self.marks = {}, {}, set(), {"": b""}
+        self.first = Remembered(self._encoded, REMEMBERED // 8)
+        self.later = Remembered(self._after_space, REMEMBERED)
+        self.marks = Remembered(lambda marks: self._merged(self._shown(marks)), REMEMBERED // 8)
         self.shown = dict(enumerate(byte_characters()))
         self.space = self.shown[ord(" ")]
         last = max(tokenizer.get_vocab(with_added_tokens=True).values(), default=-1)
@@ -110,66 +131,28 @@ class ChunkEncoder:
     def _shown(self, match: str) -> str:
         return match.encode("utf-8").decode("latin-1").translate(self.shown)
 
-    def _new_later(self, known: dict[str, bytes], new: list[str]) -> None:
-        """Chunks that follow a space. Words and the marks after them are looked up apart."""
-        others, space = [], self.space
-        for chunk in new:
-            if chunk.isascii() and chunk.isalpha():  # these letters stand for themselves
-                if chunk not in known:
-                    known[chunk] = self._merged(space + chunk)
-                continue
-            found = _WORD.fullmatch(chunk)
-            if not found:
-                others.append(chunk)
-                continue
-            word, marks = found.groups()
-            ids = known.get(word)
-            if ids is None:
-                ids = known[word] = self._merged(space + word if word.isascii() else self._shown(" " + word))
-            if marks:
-                after = self.marks.get(marks)
-                if after is None:
-                    after = self._merged(self._shown(marks))
-                    if len(self.marks) < REMEMBERED:
-                        self.marks[marks] = after
-                known[chunk] = ids + after
-        self._encoded(known, others, " ")
-
-    def _encoded(self, known: dict[str, bytes], new: list[str], before: str) -> None:
-        for start in range(0, len(new), 4096):
-            part = new[start : start + 4096]
-            found = self.tokenizer.encode_batch_fast([before + x for x in part], add_special_tokens=False)
-            for chunk, encoding in zip(part, found, strict=True):
-                known[chunk] = np.array(encoding.ids, "<u4").tobytes()
-
-    def _learn_later(self, chunks: set[str]) -> None:
-        known = self.later
-        new = chunks.difference(known)
-        self.again.update(chunks.difference(new))
-        if len(known) + len(new) > REMEMBERED:
-            kept = {x: known[x] for x in self.again} if len(self.again) < REMEMBERED // 2 else {}
-            known.clear()
-            known.update(kept)
-            self.again.clear()
-            new = chunks.difference(known)
-        self._new_later(known, list(new))
-
-    def _learn_first(self, chunks: set[str]) -> None:
-        if len(self.first) > REMEMBERED // 8:
-            self.first.clear()
-        self._encoded(self.first, list(chunks.difference(self.first)), "")
+    def _encoded(self, chunk: str) -> bytes:
+        return np.array(self.tokenizer.encode_batch_fast([chunk], add_special_tokens=False)[0].ids, "<u4").tobytes()
+
+    def _after_space(self, chunk: str) -> bytes:
+        """The ids of a chunk with the space before it. A word and the marks after it are looked
+        up apart; plain ASCII letters stand for themselves."""
+        if chunk.isascii() and chunk.isalpha():
+            return self._merged(self.space + chunk)
+        found = _WORD.fullmatch(chunk)
+        if not found:
+            return self._encoded(" " + chunk)
+        word, marks = found.groups()
+        if marks:
+            return self.later[word] + self.marks[marks]
+        return self._merged(self._shown(" " + word))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        heads, rests, seen = [], [], set()
+        first, later, out = self.first, self.later.__getitem__, []
         for text in texts:
             parts = (_CUT.split(text) if _DOUBTFUL.search(text) else text.split(" ")) if text else [""]
-            heads.append(parts[0])
-            rests.append(parts[1:])
-            seen.update(rests[-1])
-        self._learn_first(set(heads))
-        self._learn_later(seen)
-        first, later = self.first, self.later.__getitem__
-        return [first[head] + b"".join(map(later, rest)) for head, rest in zip(heads, rests, strict=True)]
+            out.append(first[parts[0]] + b"".join(map(later, parts[1:])))
+        return out
 
 
 @cache
