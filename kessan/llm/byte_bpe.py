@@ -33,6 +33,8 @@ _CUT = re.compile(rf" (?=[^{_NO_CUT}])")
 # A Latin word with what may follow it: the word is one match of the pattern, the ASCII
 # punctuation (but no apostrophe, which may start a contraction) another.
 _WORD = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\[-`{-~]*)")
+# The marks most frequent after a word.
+_ENDS = frozenset(".,;:!?")
 
 
 def byte_characters() -> list[str]:
@@ -132,13 +134,17 @@ class ChunkEncoder:
         return match.encode("utf-8").decode("latin-1").translate(self.shown)
 
     def _encoded(self, chunk: str) -> bytes:
-        return np.array(self.tokenizer.encode_batch_fast([chunk], add_special_tokens=False)[0].ids, "<u4").tobytes()
+        packed = self.packed
+        return b"".join([packed[i] for i in self.tokenizer.encode_batch_fast([chunk], add_special_tokens=False)[0].ids])
 
     def _after_space(self, chunk: str) -> bytes:
         """The ids of a chunk with the space before it. A word and the marks after it are looked
         up apart; plain ASCII letters stand for themselves."""
-        if chunk.isascii() and chunk.isalpha():
-            return self._merged(self.space + chunk)
+        if chunk.isascii():
+            if chunk.isalpha():
+                return self._merged(self.space + chunk)
+            if chunk[-1:] in _ENDS and chunk[:-1].isalpha():
+                return self.later[chunk[:-1]] + self.marks[chunk[-1]]
         found = _WORD.fullmatch(chunk)
         if not found:
             return self._encoded(" " + chunk)
@@ -150,8 +156,8 @@ class ChunkEncoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         first, later, out = self.first, self.later.__getitem__, []
         for text in texts:
-            parts = (_CUT.split(text) if _DOUBTFUL.search(text) else text.split(" ")) if text else [""]
-            out.append(first[parts[0]] + b"".join(map(later, parts[1:])))
+            parts = iter((_CUT.split(text) if _DOUBTFUL.search(text) else text.split(" ")) if text else [""])
+            out.append(first[next(parts)] + b"".join(map(later, parts)))
         return out
 
 
