@@ -13,11 +13,14 @@ from kessan.llm import (
     best_two_fit,
     byte_bpe,
     impact_topk,
+    importance_resampling,
     licence_scan,
     multi_index_hashing,
     ordinal_quality,
+    prefix_trie,
     relative_lz,
     simhash_blocks,
+    sorted_projections,
     warc_revisits,
 )
 
@@ -186,3 +189,39 @@ SQL["op10_licence_scan"] = _HEADERS.format(
     cues=licence_scan.CUES,
     templates=", ".join(f"('{name}', '{text}')" for name, text in sorted(licence_scan.TEMPLATES.items())),
 )
+
+
+@query
+def op11_sorted_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector, within its label."""
+    return sorted_projections.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+SQL["op11_sorted_projections"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings WHERE label IS NOT NULL
+  AND embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+  AND list_bool_or(list_transform(embedding, lambda x: x <> 0))
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_inner_product(a.e, b.e) / sqrt(list_inner_product(a.e, a.e)) / sqrt(list_inner_product(b.e, b.e)) >= 0.93
+), reached AS (SELECT a AS vec_id, a AS other FROM links UNION SELECT r.vec_id, l.b FROM reached r JOIN links l ON r.other = l.a),
+roots AS (SELECT vec_id, min(other) AS root FROM reached GROUP BY vec_id),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(root, vec_id) AS component_id, coalesce(root, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN roots USING (vec_id) LEFT JOIN counts USING (vec_id)"""
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct beginning of the rebuilt conversations."""
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"), family=5, most=8)
+
+
+@query
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents weighed by their words towards the benchmark, and a tenth of them drawn."""
+    return importance_resampling.resample(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
+        share=(10, 100), least_words=20, max_run=1, buckets=10_000, seed=2024,
+    )

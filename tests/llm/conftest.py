@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import pytest
 
-SF_DIR = "/root/testdata/sf0.001"
-
 
 @pytest.fixture
 def docs(spark):

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 from compare import compare, duck
-from conftest import SF_DIR
+from llm_helpers import SF_DIR
 
 from kessan.llm import licence_scan, queries
 

@@ -6,7 +6,7 @@ import random
 
 import corpus_pipeline
 import pytest
-from conftest import SF_DIR
+from llm_helpers import SF_DIR
 from test_quality_and_pii import EMAIL, PHONE
 from test_relative_lz import expected
 from test_simhash_blocks import plain_components, plain_fingerprint

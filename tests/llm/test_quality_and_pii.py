@@ -6,7 +6,7 @@ import re
 from dataclasses import replace
 
 import numpy as np
-from conftest import SF_DIR
+from llm_helpers import SF_DIR
 
 from kessan.llm import anchored_pii, ordinal_quality, queries
 

@@ -88,7 +88,7 @@ def test_rows_with_one_id_no_id_and_none(spark, docs):
 
 
 def test_query_against_counting(spark):
-    from conftest import SF_DIR
+    from llm_helpers import SF_DIR
 
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
     want = dict(zip(texts, expected(list(texts.values()), 35), strict=True))

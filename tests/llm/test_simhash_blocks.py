@@ -5,7 +5,7 @@ import re
 
 import pytest
 import xxhash
-from conftest import SF_DIR
+from llm_helpers import SF_DIR
 
 from kessan.llm import components, queries, simhash_blocks
 

@@ -95,7 +95,7 @@ def check_packing(rows, texts, capacity=1024):
 
 
 def test_packing_of_the_table(spark):
-    from conftest import SF_DIR
+    from llm_helpers import SF_DIR
 
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
     n, total = check_packing(queries.op6_best_two_fit(spark, SF_DIR).collect(), texts)

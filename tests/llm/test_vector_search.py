@@ -3,7 +3,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 from compare import duck, table
-from conftest import SF_DIR
+from llm_helpers import SF_DIR
 from pyspark.sql import functions as F
 
 from kessan.llm import impact_topk, multi_index_hashing, queries, vector_blocks

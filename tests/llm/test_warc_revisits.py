@@ -6,7 +6,7 @@ import hashlib
 
 import pytest
 from compare import compare, duck
-from conftest import SF_DIR
+from llm_helpers import SF_DIR
 
 from kessan.llm import queries, warc_revisits
 
