@@ -10,8 +10,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from kessan.schema import FACT_FILE_COLUMNS  # noqa: E402
 from kessan.session import build_session  # noqa: E402
 
-SF_DIR = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -52,15 +50,3 @@ class Corpus:
 @pytest.fixture
 def corpus(tmp_path):
     return Corpus(tmp_path)
-
-
-def fact(element, context="CurrentYearDuration", value="1", **more):
-    row = {
-        "element": element, "label": element, "context": context, "rel_year": "当期",
-        "consol": "連結", "period_type": "期間", "unit": "円", "value": value,
-    }
-    return {**row, **more}
-
-
-def rows(df, *columns):
-    return sorted(tuple(r) for r in df.select(*columns).collect())

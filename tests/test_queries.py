@@ -6,7 +6,7 @@ import os
 
 import pytest
 from compare import compare, duck
-from conftest import SF_DIR
+from filing_helpers import SF_DIR
 
 import __spark_entry__ as entry
 from kessan.queries import all_queries, all_sql

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import fact, rows
+from filing_helpers import fact, rows
 from pyspark.sql import functions as F
 
 from kessan.operators.facts import Measure, candidate_availability, fallback_values, header_values, unique_facts

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from conftest import fact, rows
+from filing_helpers import fact, rows
 from pyspark.sql import functions as F
 
 from kessan import sinks, sources
