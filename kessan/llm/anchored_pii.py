@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kessan.llm.columns import narrow, quoted
+from kessan.llm.columns import mapped, narrow
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "account", "address")
@@ -176,11 +176,11 @@ def find(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
 def mask(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with its personal data masked, all other columns as they are."""
+    place = df.columns.index(text)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            place = batch.schema.get_field_index(text)
             new = pa.array((masked(t.as_py()) for t in batch.column(place)), pa.string())
             yield batch.set_column(place, batch.schema.field(place), new)
 
-    return df.select(*(quoted(c) for c in df.columns)).mapInArrow(work, df.schema)
+    return mapped(df, work, df.schema)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kessan.llm.byte_bpe import STEP, encoder
+from kessan.llm.byte_bpe import encoder
 from kessan.llm.columns import narrow
 from kessan.session import written
 
@@ -38,10 +38,10 @@ def cut_pieces(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, STEP):
-                part = batch.slice(at, STEP)
+            for at, encoded in encoder(path, None).steps(batch.column(1).to_pylist()):
+                part = batch.slice(at, len(encoded))
                 rows, pieces, starts, lengths, ids = [], [], [], [], []
-                for row, data in enumerate(encoder(path, None).encode(part.column(1).to_pylist())):
+                for row, data in enumerate(encoded):
                     data += closing
                     n, begin, piece = len(data) // 4, 0, 0
                     while begin < n:
@@ -59,6 +59,7 @@ def cut_pieces(
                     ],
                     ["key", "piece", "start", "length", "ids"],
                 )
+        encoder(path, None).forget()
 
     cut = narrow(df, key=key, text=text).mapInArrow(
         work, f"key {kind.simpleString()}, piece int, start long, length long, ids binary"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def quoted(name: str) -> str:
@@ -21,3 +22,11 @@ def with_replaced(df: DataFrame, **columns):
     for name in df.columns:
         out.append(columns.pop(name).alias(name) if name in columns else F.col(quoted(name)))
     return df.select(*out, *(c.alias(name) for name, c in columns.items()))
+
+
+def mapped(df: DataFrame, work, schema: T.StructType) -> DataFrame:
+    """``df.mapInArrow(work, schema)`` for columns of any names: batches go in and out under names
+    by position (``c0``, ``c1``, ...), for Arrow takes a dot in a name for a field of a struct."""
+    into = df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+    fields = [T.StructField(f"c{i}", f.dataType, True) for i, f in enumerate(schema.fields)]
+    return into.mapInArrow(work, T.StructType(fields)).toDF(*schema.fieldNames())

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kessan.llm.columns import narrow
+from kessan.llm.columns import mapped, narrow
 from kessan.session import written
 
 _BREAKS = bytes(
@@ -250,14 +250,13 @@ def select(
     """The rows of ``df`` that ``score`` keeps, with all their columns."""
     if model is None:
         return df
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared, place = df.sparkSession.sparkContext.broadcast(model), df.columns.index(text)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text))
-            yield batch.filter(pa.array(shared.value.rated(texts, least_grade)[1] >= probability))
+            yield batch.filter(pa.array(shared.value.rated(batch.column(place), least_grade)[1] >= probability))
 
-    return df.mapInArrow(work, df.schema)
+    return mapped(df, work, df.schema)
 
 
 def graded(labels: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kessan.llm.columns import narrow, quoted
 from kessan.llm.word_hashes import gram_hashes, gram_sums, sliding_minimum, word_hashes
@@ -214,7 +215,6 @@ def remove_repeats(
     )
     others = list(named)
     lists = _by_document(factors(docs.select("key", "crc", "text"), window), "first", "count")
-    kind = docs.schema["key"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -244,8 +244,11 @@ def remove_repeats(
                 )
 
     joined = _with_list(docs, lists, "left").select("key", "text", "todo", *others)
-    schema = f"key {kind}, n_words long, n_removed long, kept string, spans array<struct<start:int,end:int>>"
-    for name in others:
-        schema += f", {name} {docs.schema[name].dataType.simpleString()}"
+    spans = T.ArrayType(T.StructType([T.StructField(name, T.IntegerType()) for name in ("start", "end")]))
+    schema = T.StructType([
+        T.StructField("key", docs.schema["key"].dataType), T.StructField("n_words", T.LongType()),
+        T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType()), T.StructField("spans", spans),
+        *(T.StructField(name, docs.schema[name].dataType) for name in others),
+    ])
     out = joined.mapInArrow(work, schema)
     return out.select(F.col("key").alias(key), *(quoted(c) for c in out.columns[1:]))

@@ -45,6 +45,24 @@ def test_stages_one_after_the_other(spark):
     assert len(corpus_pipeline.run(spark, SF_DIR).collect()) == stages["packing"](spark, docs, SF_DIR).count()
 
 
+@pytest.mark.parametrize("stage", [name for name, _ in corpus_pipeline.STAGES])
+def test_columns_of_any_name(spark, stage):
+    own = "doc_id long, text string, lang string, source string, n_chars long, `a.b` int, `c d` int, `e``f` string, `rest` int, ids int"
+    dice = random.Random(2)
+    copied = " ".join(f"w{dice.randrange(999)}" for _ in range(50))
+    texts = [f"mail me at a{i}@b.cd now {i}" for i in range(40)] + [f"{copied} {i} {i * i}" for i in range(3)]
+    table = spark.createDataFrame([(i, t, "en", "s", len(t), i, -i, f"x{i}", 1, 2) for i, t in enumerate(texts)], own)
+    result = dict(corpus_pipeline.STAGES)[stage](spark, table, SF_DIR)
+    if stage == "packing":
+        assert result.count() == len(texts)
+        return
+    assert result.dtypes == table.dtypes
+    for r in result.collect():
+        assert (r["a.b"], r["c d"], r["e`f"], r["rest"], r["ids"]) == (r["doc_id"], -r["doc_id"], f"x{r['doc_id']}", 1, 2)
+        if stage == "personal_data" and r["doc_id"] < 40:
+            assert r["text"] == f"mail me at <EMAIL> now {r['doc_id']}" and r["n_chars"] == len(r["text"])
+
+
 @pytest.mark.parametrize("stage", [name for name, _ in corpus_pipeline.STAGES])
 def test_odd_tables(spark, stage, docs):
     dice = random.Random(1)

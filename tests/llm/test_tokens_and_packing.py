@@ -34,7 +34,7 @@ def random_texts(n):
 def test_ids_equal_the_public_library():
     texts = ODD + random_texts(3000)
     known = public_encoding()
-    found = byte_bpe.ChunkEncoder(byte_bpe.rank_tokenizer(RANKS, PATTERN)).encode(texts)
+    found = byte_bpe.chunk_encoder(RANKS, PATTERN).encode(texts)
     for text, ids in zip(texts, found, strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == known.encode_ordinary(text), repr(text)
 
@@ -42,17 +42,67 @@ def test_ids_equal_the_public_library():
 def test_chunks_equal_whole_texts_with_the_file_tokenizer():
     texts = ODD + random_texts(3000)
     tokenizer = byte_bpe.file_tokenizer(JSON)
-    found = byte_bpe.ChunkEncoder(tokenizer).encode(texts)
+    found = byte_bpe.chunk_encoder(JSON, None).encode(texts)
     for text, ids in zip(texts, found, strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
-def test_memory_of_chunks_may_run_full(monkeypatch):
-    texts = random_texts(300)
-    whole = byte_bpe.ChunkEncoder(byte_bpe.file_tokenizer(JSON)).encode(texts)
-    monkeypatch.setattr(byte_bpe, "REMEMBERED", 20)
-    small = byte_bpe.ChunkEncoder(byte_bpe.file_tokenizer(JSON))
+def test_memory_of_chunks_is_bounded_by_bytes(monkeypatch):
+    texts = [*random_texts(300), "x " + "long" * 50, "日本語" * 100 + " y"]
+    whole = byte_bpe.chunk_encoder(JSON, None).encode(texts)
+    monkeypatch.setattr(byte_bpe, "REMEMBERED", 2000)
+    small = byte_bpe.chunk_encoder(JSON, None)
     assert [x for t in texts for x in small.encode([t])] == whole
+    assert 0 < len(small.matches) < 12
+    assert [x for _, some in small.steps(texts) for x in some] == whole
+    small.forget()
+    assert not small.matches
+
+
+def test_another_pattern_gives_the_tokenizers_ids():
+    """Nothing is taken for granted of patterns other than the public one."""
+    pattern = r" ?\p{L}{1,2}|\s+|[^\s\p{L}]"
+    texts = [*ODD, "abcdef ghijk  lmn 12", *random_texts(200)]
+    tokenizer = byte_bpe.rank_tokenizer(RANKS, pattern)
+    found = byte_bpe.chunk_encoder(RANKS, pattern).encode(texts)
+    want = [x.ids for x in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == want
+    known = base64.b64decode  # the public library agrees
+    ranks = {known(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
+    other = tiktoken.Encoding("other", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    assert want == [other.encode_ordinary(t) for t in texts]
+
+
+def test_file_with_another_split(tmp_path):
+    from tokenizers import pre_tokenizers
+
+    tokenizer = byte_bpe.file_tokenizer.__wrapped__(JSON)
+    tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=True)
+    assert not byte_bpe.cuts_at_spaces(tokenizer, None)
+    path = str(tmp_path / "t.json")
+    tokenizer.save(path)
+    found = byte_bpe.chunk_encoder(path, None).encode(["ab cd"])[0]
+    assert np.frombuffer(found, "<u4").tolist() == tokenizer.encode("ab cd", add_special_tokens=False).ids
+
+
+def test_query_against_the_public_library(spark):
+    import hashlib
+
+    from llm_helpers import SF_DIR
+
+    known, want = public_encoding(), []
+    for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect():
+        ids = known.encode_ordinary(r["text"] or "")
+        packed = np.array(ids, "<u4").tobytes()
+        digests = [hashlib.sha256(x).hexdigest() for x in (packed, (r["text"] or "").encode())]
+        want.append((r["doc_id"], len(ids), *digests))
+    assert sorted(map(tuple, queries.op7_byte_bpe(spark, SF_DIR).collect())) == sorted(want)
+
+
+def test_columns_of_any_name(spark):
+    table = spark.createDataFrame([(1, "a b", 2, 3, 4)], "doc_id long, text string, `a.b` int, `c d` int, `e``f` int")
+    row = byte_bpe.decode(byte_bpe.encode(table, RANKS, PATTERN), RANKS, PATTERN).first()
+    assert row["a.b"] == 2 and row["c d"] == 3 and row["e`f"] == 4 and bytes(row["decoded"]) == b"a b"
 
 
 def test_round_trip_offsets_and_odd_tables(spark, docs):
