@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kessan.llm import anchored_pii, best_two_fit, ordinal_quality, relative_lz, simhash_blocks
-from kessan.llm.columns import narrow, with_replaced
+from kessan.llm.columns import narrow, quoted, with_replaced
 from kessan.session import scratch_path
 
 
@@ -42,7 +42,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
     found = relative_lz.remove_repeats(docs, window=35, rest=others)
     fields = [F.col("rest")[c].alias(c) for c in others]
-    return _retexted(found.select("doc_id", F.col("kept").alias("text"), *fields).select(*docs.columns), F.col("text"))
+    return _retexted(found.select("doc_id", F.col("kept").alias("text"), *fields).select(*map(quoted, docs.columns)), F.col("text"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
