@@ -12,20 +12,30 @@ from pyspark.sql import window as W
 from kessan.functions import filters
 from kessan.functions.numbers import normalize_value
 from kessan.small import INT, TEXT, small_table
-from kessan.vocab import period_contexts, vocab_keys
+from kessan.vocab import PERIODS, period_contexts, vocab_keys
 
 #: Rows that agree on these are copies of one fact.
 FACT_KEYS = ("element", "context", "rel_year", "consol", "period_type")
 LEAF_KEYS = ("doc_id", "statement", "item")
 
 
+def prints(*columns: str) -> list[Column]:
+    """A 128-bit fingerprint of columns as two longs, ``print1`` and ``print2``. Rows of equal
+    prints are taken for equal: among a trillion rows two unlike ones meet with a chance of 1e-14."""
+    # The hash skips nulls, so a null is given a text of its own.
+    filled = [F.coalesce(F.col(c), F.lit("\u0000")) for c in columns]
+    return [F.xxhash64(F.lit(seed), *filled).alias(f"print{seed}") for seed in (1, 2)]
+
+
 def unique_facts(facts: DataFrame) -> DataFrame:
     """One row per filing and fact key; of unequal values the smallest is kept.
 
-    Copies meet already before the shuffle, so a fact repeated without end costs one row
-    per task there.
+    Rows meet by the fingerprint of their key, so sorts compare numbers. Copies meet already
+    before the shuffle: a fact repeated without end costs one row per task there.
     """
-    return facts.groupBy("doc_id", *FACT_KEYS).agg(F.min("value").alias("value"))
+    first = W.Window.partitionBy("print1", "print2").orderBy(F.col("value").asc_nulls_last())
+    marked = facts.select("doc_id", *FACT_KEYS, "value", *prints("doc_id", *FACT_KEYS))
+    return marked.withColumn("place", F.row_number().over(first)).filter("place = 1").drop("place", "print1", "print2")
 
 
 def leaf_facts(facts: DataFrame, vocab: DataFrame) -> DataFrame:
@@ -38,42 +48,60 @@ def leaf_facts(facts: DataFrame, vocab: DataFrame) -> DataFrame:
     named = facts.filter(
         filters.is_consolidated(F.col("consol"), F.col("context"))
         & F.col("element").contains(":")
-    ).withColumn("local_name", filters.local_name(F.col("element")))
+    )
+    if "local_name" not in facts.columns:  # facts landed by filing hold it
+        named = named.withColumn("local_name", filters.local_name(F.col("element")))
     keys = vocab_keys(vocab).select("local_name", "statement", "ord", "item")
     rows = named.join(keys, "local_name").select("doc_id", *FACT_KEYS, "statement", "ord", "item", "value")
     return rows.join(period_contexts(facts.sparkSession), "context")
 
 
-def single_values(leaves: DataFrame) -> DataFrame:
-    """The value of each (leaf, period) that exactly one distinct fact supports.
+def leaf_values(leaves: DataFrame, last_only: Sequence[str] = ("META",)) -> DataFrame:
+    """``doc_id, label, ord, last_only, period_ord, print1, print2, value``: the distinct facts of
+    each leaf, narrow. ``label`` is the hash of statement and item, ``last_only`` says whether the
+    statement holds one period only.
 
-    Copies and the count are settled in one aggregation: all rows of the group are one
-    fact if and only if the smallest and the largest fact key agree.
+    One hash aggregation: copies meet before the shuffle, and no text but the value goes into it.
     """
-    key = F.struct(*FACT_KEYS)
-    grouped = leaves.groupBy(*LEAF_KEYS, "ord", "period", "period_ord").agg(
-        F.min(key).alias("low"), F.max(key).alias("high"), F.min("value").alias("value")
-    )
-    return grouped.filter(F.col("low").eqNullSafe(F.col("high"))).drop("low", "high")
+    return leaves.select(
+        "doc_id", F.xxhash64("statement", "item").alias("label"), "ord",
+        F.col("statement").isin(*last_only).alias("last_only"), "period_ord", *prints(*FACT_KEYS), "value",
+    ).distinct()
+
+
+def single_values(values: DataFrame) -> DataFrame:
+    """Of ``leaf_values`` the value of each (leaf, period) that exactly one distinct fact supports;
+    of unequal values of that fact the smallest.
+
+    All rows are one fact if and only if the smallest and the largest print agree. Rows placed
+    by filing stay where they are, and one sort serves this window and those of ``last_leaf``.
+    """
+    leaf = W.Window.partitionBy("doc_id", "label", "ord", "period_ord")
+    least, place = [F.min(p).over(leaf) == F.max(p).over(leaf) for p in ("print1", "print2")], F.row_number()
+    marked = values.withColumn("place", place.over(leaf.orderBy(F.col("value").asc_nulls_last())))
+    marked = marked.withColumn("single", least[0] & least[1])
+    return marked.filter("single AND place = 1").drop("print1", "print2", "single", "place")
 
 
 def last_leaf(values: DataFrame) -> DataFrame:
-    """Of leaves that share a label, the last one with any value replaces the others. Header
-    (META) items hold one value only: that of the last period, and no period.
+    """Of leaves that share a label, the last one with any value replaces the others. Statements
+    with one period (META) hold the value of the last period only.
 
-    One window serves both; it holds at most the periods of the leaves of one label.
+    The window holds at most the periods of the leaves of one label.
     """
-    is_meta = F.col("statement") == "META"
-    rank = F.struct(F.col("ord"), F.when(is_meta, F.col("period_ord")).alias("last"))
-    best = F.max("rank").over(W.Window.partitionBy(*LEAF_KEYS))
-    kept = values.withColumn("rank", rank).withColumn("best", best).filter(
-        F.col("rank").eqNullSafe(F.col("best"))
-    )
-    return kept.select(
-        *LEAF_KEYS, "ord",
-        F.when(~is_meta, F.col("period")).alias("period"),
-        F.when(~is_meta, F.col("period_ord")).alias("period_ord"),
-        "value",
+    rank = F.col("ord").cast("long") * 1000 + F.when(F.col("last_only"), F.col("period_ord")).otherwise(0)
+    ranked = values.withColumn("rank", rank)
+    best = F.max("rank").over(W.Window.partitionBy("doc_id", "label"))
+    return ranked.withColumn("best", best).filter("rank = best").drop("rank", "best")
+
+
+def labelled(values: DataFrame, vocab: DataFrame) -> DataFrame:
+    """``doc_id, statement, item, ord, period, period_ord, value``: names for ``label`` and
+    ``period_ord``; statements with one period have no period."""
+    names = vocab.select(F.xxhash64("statement", "item").alias("label"), "ord", "statement", "item")
+    period = F.when(~F.col("last_only"), F.get(F.lit(list(PERIODS)), F.col("period_ord") - 1))
+    return values.join(F.broadcast(names), ["label", "ord"]).select(
+        *LEAF_KEYS, "ord", period.alias("period"), F.when(~F.col("last_only"), F.col("period_ord")).alias("period_ord"), "value"
     )
 
 

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kessan.functions import filters
 from kessan.functions.text import json_text
-from kessan.operators.facts import FACT_KEYS, last_leaf, leaf_facts, single_values
-from kessan.vocab import STATEMENTS, builtin_vocab
+from kessan.operators.facts import FACT_KEYS, labelled, last_leaf, leaf_facts, leaf_values, prints, single_values
+from kessan.small import INT, TEXT, small_table
+from kessan.vocab import STATEMENTS, builtin_vocab, period_contexts
 
 # The header item that says whether statements are consolidated.
 CONSOLIDATION_ELEMENT = "WhetherConsolidatedFinancialStatementsArePreparedDEI"
@@ -19,37 +20,52 @@ ENTITY_ITEM = "EDINETコード"
 START_ITEM = "当事業年度開始日"
 
 
+#: A line of its own for the header item that says whether statements are consolidated.
+GATE = "GATE"
+
+
 def statements(
-    facts: DataFrame, vocab: DataFrame | None = None, only: Sequence[str] = STATEMENTS
+    facts: DataFrame, vocab: DataFrame | None = None, only: Sequence[str] = STATEMENTS, placed: bool = False
 ) -> DataFrame:
-    """``doc_id, statement, ord, item, period, period_ord, value`` of every filing.
+    """``doc_id, statement, item, ord, period, period_ord, value`` of every filing.
 
     Header (META) items have no period. Filings that say they are not consolidated yield
-    nothing. Only vocabulary rows leave the scan, copies meet before the first shuffle.
+    nothing; that item is a leaf like any other, so facts are read once. Only vocabulary rows
+    leave the scan, copies meet before the first shuffle, the second places rows by filing, and
+    all further steps, here and in ``sections``, keep that placement. ``placed``: the facts are
+    landed by filing, so nothing is shuffled.
     """
     spark = facts.sparkSession
     vocab = builtin_vocab(spark) if vocab is None else vocab
-    gate = unconsolidated(facts)
     vocab = vocab.filter(F.col("statement").isin(*only))
-    values = single_values(leaf_facts(facts, vocab))
-    return last_leaf(values).join(gate, "doc_id", "left_anti")
+    lines = vocab.select("statement", "ord", "element", "item")
+    lines = lines.union(small_table(spark, [(GATE, 0, CONSOLIDATION_ELEMENT, GATE)], statement=TEXT, ord=INT, element=TEXT, item=TEXT))
+    values = leaf_values(leaf_facts(facts, lines), last_only=("META", GATE))
+    if not placed:
+        values = values.repartition("doc_id")
+    kept = last_leaf(single_values(values))
+    gate = F.col("label") == F.xxhash64(F.lit(GATE), F.lit(GATE))
+    closed = F.max((gate & (F.col("value") == "false")).cast("int")).over(Window.partitionBy("doc_id"))
+    open_ = kept.withColumn("closed", F.coalesce(closed, F.lit(0))).filter("closed = 0").drop("closed")
+    return labelled(open_, vocab)
 
 
 def unconsolidated(facts: DataFrame) -> DataFrame:
     """``doc_id`` of filings whose header says they are not consolidated: the value of the last
     period that exactly one fact supports is ``false``."""
-    from kessan.vocab import period_contexts
-
     flag = facts.filter(
         filters.is_element(F.col("element"), CONSOLIDATION_ELEMENT)
         & filters.is_consolidated(F.col("consol"), F.col("context"))
     ).join(period_contexts(facts.sparkSession), "context")
-    key = F.struct(*FACT_KEYS)
-    single = flag.groupBy("doc_id", "period_ord").agg(
-        F.min(key).alias("low"), F.max(key).alias("high"), F.min("value").alias("value")
-    ).filter(F.col("low").eqNullSafe(F.col("high")))
-    last = single.groupBy("doc_id").agg(F.max_by("value", "period_ord").alias("value"))
-    return last.filter(F.col("value") == "false").select("doc_id")
+    least = [f(p).alias(f"{name}{p}") for p in ("print1", "print2") for name, f in (("low_", F.min), ("high_", F.max))]
+    # Values other than "false" need not be told apart; the smallest of a fact's values counts.
+    below = F.col("value") < "false"
+    single = flag.select("doc_id", "period_ord", "value", *prints(*FACT_KEYS)).groupBy("doc_id", "period_ord").agg(
+        *least, F.bool_or(F.col("value") == "false").alias("is_false"), F.bool_or(below).alias("is_below")
+    ).filter("low_print1 = high_print1 AND low_print2 = high_print2")
+    said = F.coalesce(F.col("is_false"), F.lit(False)) & ~F.coalesce(F.col("is_below"), F.lit(False))
+    last = single.groupBy("doc_id").agg(F.max(F.col("period_ord") * 2 + said.cast("int")).alias("last"))
+    return last.filter(F.col("last") % 2 == 1).select("doc_id")
 
 
 def period_maps(parsed: DataFrame) -> DataFrame:

@@ -133,8 +133,9 @@ def _(t):
     "singles",
 )
 def _(t):
-    leaves = facts.leaf_facts(t.facts, builtin_vocab(t.spark).filter("statement = 'BS'"))
-    return facts.single_values(leaves).select("doc_id", "item", "ord", "period", "value")
+    vocab = builtin_vocab(t.spark).filter("statement = 'BS'")
+    singles = facts.single_values(facts.leaf_values(facts.leaf_facts(t.facts, vocab)))
+    return facts.labelled(singles, vocab).select("doc_id", "item", "ord", "period", "value")
 
 
 @query(
@@ -143,14 +144,16 @@ def _(t):
     "body",
 )
 def _(t):
-    leaves = facts.leaf_facts(t.facts, builtin_vocab(t.spark).filter("statement = 'PL'"))
-    return facts.last_leaf(facts.single_values(leaves)).select("doc_id", "item", "ord", "period", "value")
+    vocab = builtin_vocab(t.spark).filter("statement = 'PL'")
+    singles = facts.single_values(facts.leaf_values(facts.leaf_facts(t.facts, vocab)))
+    return facts.labelled(facts.last_leaf(singles), vocab).select("doc_id", "item", "ord", "period", "value")
 
 
 @query("header_items", "A12", "SELECT doc_id, item, value FROM meta", "meta")
 def _(t):
-    leaves = facts.leaf_facts(t.facts, builtin_vocab(t.spark).filter("statement = 'META'"))
-    return facts.last_leaf(facts.single_values(leaves)).select("doc_id", "item", "value")
+    vocab = builtin_vocab(t.spark).filter("statement = 'META'")
+    singles = facts.single_values(facts.leaf_values(facts.leaf_facts(t.facts, vocab)))
+    return facts.labelled(facts.last_leaf(singles), vocab).select("doc_id", "item", "value")
 
 
 @query(
