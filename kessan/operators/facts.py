@@ -116,6 +116,33 @@ def header_values(facts: DataFrame, elements: Sequence[str]) -> DataFrame:
     )
 
 
+#: Header elements of the side table, by its columns.
+# The elements of the accounting standard, the fiscal dates and the submission.
+HEADER_ELEMENTS = {
+    "standard": "jpdei_cor:AccountingStandardsDEI",
+    "year_start": "jpdei_cor:CurrentFiscalYearStartDateDEI",
+    "year_end": "jpdei_cor:CurrentFiscalYearEndDateDEI",
+    "submitted_dei": "jpdei_cor:FilingDateDEI",
+    "submitted_time": "jpdei_cor:SubmissionDateTimeDEI",
+    "submitted_cover": "jpcrp_cor:FilingDateCoverPage",
+}
+SUBMISSION_COLUMNS = ("submitted_dei", "submitted_time", "submitted_cover")
+
+
+def header_side(facts: DataFrame) -> DataFrame:
+    """One row per filing that has header rows: the last value of each header element, and whether
+    any row uses an element of another accounting standard. One scan, and one shuffle of the few
+    rows that say either."""
+    element = F.col("element")
+    listed = element.isin(*HEADER_ELEMENTS.values())
+    wanted = facts.filter(listed | filters.other_standard(element))
+    last = [F.max_by("value", F.when(element == name, F.col("src_ord"))).alias(column) for column, name in HEADER_ELEMENTS.items()]
+    rows = wanted.groupBy("doc_id").agg(
+        *last, F.bool_or(filters.other_standard(element)).alias("uses_other"), F.bool_or(listed).alias("has_header")
+    )
+    return rows.filter("has_header").drop("has_header")
+
+
 def single_element_values(facts: DataFrame, name: str) -> DataFrame:
     """``doc_id, value`` of filings in which exactly one distinct fact has the element."""
     key = F.struct(*FACT_KEYS)

@@ -4,24 +4,23 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from kessan.functions import dates, filters
 from kessan.functions.numbers import plus_if_base
 from kessan.functions.text import first_filled
 from kessan.operators.companies import without_industries
-from kessan.operators.facts import Measure, fallback_values, header_values
+from kessan.operators.facts import HEADER_ELEMENTS, SUBMISSION_COLUMNS, Measure, fallback_values, header_side
 from kessan.operators.select import best_and_reasons, best_per_year, company_years, duplicate_log
 from kessan.session import written
+from kessan.small import LONG, TEXT, small_table
 
 FIRST_YEAR, LAST_YEAR = 2015, 2024
 
-# Header elements.
-STANDARD = "jpdei_cor:AccountingStandardsDEI"
-YEAR_START = "jpdei_cor:CurrentFiscalYearStartDateDEI"
-YEAR_END = "jpdei_cor:CurrentFiscalYearEndDateDEI"
-SUBMITTED = ("jpdei_cor:FilingDateDEI", "jpdei_cor:SubmissionDateTimeDEI", "jpcrp_cor:FilingDateCoverPage")
+# Header elements by what they hold; of the submission the first that is filled counts.
+STANDARD, YEAR_START, YEAR_END = (HEADER_ELEMENTS[c] for c in ("standard", "year_start", "year_end"))
+SUBMITTED = tuple(HEADER_ELEMENTS[c] for c in SUBMISSION_COLUMNS)
 
 # Elements that may hold a figure, best first.
 NET_SALES = ("NetSales", "NetSalesOfCompletedConstructionContracts")
@@ -86,28 +85,24 @@ OUTPUT_COLUMNS = (
 
 def filing_headers(facts: DataFrame, entities: DataFrame) -> DataFrame:
     """One row per filing: company, standard, fiscal dates, submission, and whether the filing
-    is of the home standard. ``entities``: ``doc_id, entity_id``.
+    is of the home standard. ``entities``: ``doc_id, entity_id``."""
+    return headers_of_side(header_side(facts), entities)
 
-    The scan keeps header rows and rows of other standards only.
-    """
-    element = F.col("element")
-    wanted = (STANDARD, YEAR_START, YEAR_END, *SUBMITTED)
-    # The two aggregations read different, narrow slices and share the key of their shuffle.
-    values = header_values(facts, wanted)
-    other = facts.filter(filters.other_standard(element)).groupBy("doc_id").agg(F.lit(True).alias("uses_other"))
-    joined = values.join(other, "doc_id", "left").join(entities, "doc_id")
+
+def headers_of_side(side: DataFrame, entities: DataFrame) -> DataFrame:
+    """``filing_headers`` from the header side table kept by the landing, without the facts."""
     uses_other = F.coalesce("uses_other", F.lit(False))
-    named = [F.col(f"`{c}`") for c in SUBMITTED]
-    return joined.select(
+    standard = F.col("standard")
+    return side.join(entities, "doc_id").select(
         "doc_id",
         "entity_id",
         F.concat_ws("/", "entity_id", F.concat("doc_id", F.lit(".tsv"))).alias("path"),
-        F.col(f"`{STANDARD}`").alias("standard"),
-        dates.fiscal_year(F.col(f"`{YEAR_START}`")).alias("fiscal_year"),
-        F.col(f"`{YEAR_END}`").alias("period_end"),
-        first_filled(*named).alias("submit_text"),
-        filters.home_standard(F.col(f"`{STANDARD}`"), uses_other).alias("accepted"),
-        filters.standard_reason(F.col(f"`{STANDARD}`"), uses_other).alias("standard_reason"),
+        standard.alias("standard"),
+        dates.fiscal_year(F.col("year_start")).alias("fiscal_year"),
+        F.col("year_end").alias("period_end"),
+        first_filled(*map(F.col, SUBMISSION_COLUMNS)).alias("submit_text"),
+        filters.home_standard(standard, uses_other).alias("accepted"),
+        filters.standard_reason(standard, uses_other).alias("standard_reason"),
     )
 
 
@@ -145,12 +140,12 @@ class AccrualTables:
 
 def accrual_rows(
     facts: DataFrame, entities: DataFrame, companies: DataFrame,
-    first: int = FIRST_YEAR, last: int = LAST_YEAR, excluded_industries: tuple[str, ...] = (),
+    first: int = FIRST_YEAR, last: int = LAST_YEAR, excluded_industries: tuple[str, ...] = (), headers: DataFrame | None = None,
 ) -> DataFrame:
     """A row per company and fiscal year with the chosen filing's figures and ``missing_reason``
     (empty text: complete)."""
     listed = without_industries(companies, excluded_industries)
-    headers = filing_headers(facts, entities).filter(
+    headers = (filing_headers(facts, entities) if headers is None else headers).filter(
         filters.in_fiscal_years(F.col("fiscal_year"), first, last)
     )
     figures = basis_and_values(facts)
@@ -187,10 +182,11 @@ def accrual_rows(
 
 
 def duplicates(
-    facts: DataFrame, entities: DataFrame, companies: DataFrame, first: int = FIRST_YEAR, last: int = LAST_YEAR
+    facts: DataFrame, entities: DataFrame, companies: DataFrame, first: int = FIRST_YEAR, last: int = LAST_YEAR,
+    headers: DataFrame | None = None,
 ) -> DataFrame:
     """The filings passed over for another of the same company and year."""
-    accepted = filing_headers(facts, entities).filter(
+    accepted = (written(filing_headers(facts, entities), "headers") if headers is None else headers).filter(
         filters.in_fiscal_years(F.col("fiscal_year"), first, last) & F.col("accepted")
     )
     log = duplicate_log(accepted, best_per_year(accepted))
@@ -199,23 +195,40 @@ def duplicates(
 
 def accrual_inputs(
     facts: DataFrame, entities: DataFrame, companies: DataFrame,
-    first: int = FIRST_YEAR, last: int = LAST_YEAR, excluded_industries: tuple[str, ...] = (),
+    first: int = FIRST_YEAR, last: int = LAST_YEAR, excluded_industries: tuple[str, ...] = (), side: DataFrame | None = None,
 ) -> AccrualTables:
     """The complete cases and the three logs.
 
     ``companies``: ``edinet_code, sec_code, company_name, industry, market``. Three of
-    them are views of one grid, which is written once.
+    them are views of one grid, which is written once; headers are made once, or read from ``side``,
+    the header side table, where that is given.
     """
     listed = without_industries(companies, excluded_industries)
-    rows = written(accrual_rows(facts, entities, listed, first, last), "accrual-rows")
+    headers = written(headers_of_side(header_side(facts) if side is None else side, entities), "headers")
+    rows = written(accrual_rows(facts, entities, listed, first, last, headers=headers), "accrual-rows")
     return AccrualTables(
         inputs=complete_rows(rows),
         missing=missing_log(rows),
-        duplicates=duplicates(facts, entities, listed, first, last),
+        duplicates=duplicates(facts, entities, listed, first, last, headers),
         receivables=receivables_log(rows),
     )
 
 
+#: Outputs of a run, in the order of its counters.
+OUTPUTS = ("inputs", "missing", "duplicates", "receivables")
+
+
+def write_accrual_run(tables: AccrualTables, root: str) -> DataFrame:
+    """The four tables as parquet folders under ``root``, and ``kind, n``: the rows of each, counted
+    by the tasks that write them."""
+    counts = []
+    for kind in OUTPUTS:
+        seen = Observation(kind)
+        getattr(tables, kind).observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{root}/{kind}")
+        counts.append((kind, seen.get["n"]))
+    return small_table(tables.inputs.sparkSession, counts, kind=TEXT, n=LONG)
+
+
 def complete_rows(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col("missing_reason") == "").select(*OUTPUT_COLUMNS)
 

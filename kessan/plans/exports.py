@@ -181,10 +181,11 @@ def slot_labels(slots: DataFrame) -> DataFrame:
     )
 
 
-def chosen_periods(filings: DataFrame, facts: DataFrame, years: int) -> DataFrame:
+def chosen_periods(filings: DataFrame, facts: DataFrame, years: int, landed: DataFrame | None = None) -> DataFrame:
     """The filings of the full export: those with facts, the last per period end, the last
-    ``years`` period ends."""
-    return last_periods(latest_per_period(with_facts(filings, facts)), years)
+    ``years`` period ends. ``landed``: the manifest, which saves a scan of the facts."""
+    there = facts.select("doc_id").distinct() if landed is None else landed
+    return last_periods(latest_per_period(with_facts(filings, there)), years)
 
 
 def full_long(chosen: DataFrame, parsed: DataFrame) -> DataFrame:

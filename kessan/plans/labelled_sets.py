@@ -92,10 +92,14 @@ def random_pair_per_company(pairs: DataFrame, seed: str = sampling.SEED) -> Data
     return sampling.first_per_group(pairs, "edinetCode", "prev_doc", 1, seed)
 
 
-def earnings_labels(filings: DataFrame, facts: DataFrame, seed: str = sampling.SEED) -> DataFrame:
+def earnings_labels(
+    filings: DataFrame, facts: DataFrame, seed: str = sampling.SEED, landed: DataFrame | None = None
+) -> DataFrame:
     """One random year-to-year pair per company with its label and the naive prediction; pairs
-    without the facts or profits they need, or whose earlier filing is not readable, drop out."""
-    pairs = pairs_with_facts(random_pair_per_company(year_pairs(filings), seed), facts)
+    without the facts or profits they need, or whose earlier filing is not readable, drop out.
+    ``landed``: the manifest, which saves a scan of the facts."""
+    there = facts.select("doc_id").distinct() if landed is None else landed
+    pairs = pairs_with_facts(random_pair_per_company(year_pairs(filings), seed), there)
     figures = profits(facts)
     before = figures.select(
         F.col("doc_id").alias("prev_doc"), F.col("prior").alias("two_before"), F.col("current").alias("one_before")

@@ -12,6 +12,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kessan.session import written
+from kessan.sources.lake import manifest_of
+
 # --- companies (customer) ------------------------------------------------------------------
 
 SEC_CODE = (
@@ -303,6 +306,11 @@ class Tables:
     def facts(self) -> DataFrame:
         return self.line_facts.unionByName(self.header_facts).unionByName(self.text_facts)
 
+    @cached_property
+    def landed_lines(self) -> DataFrame:
+        """The manifest that landing the order lines' facts leaves."""
+        return written(manifest_of(self.line_facts.withColumn("entity_id", F.lit(None).cast("string"))), "manifest")
+
     @cached_property
     def entities(self) -> DataFrame:
         return self.filings.select(F.col("docID").alias("doc_id"), F.col("edinetCode").alias("entity_id"))

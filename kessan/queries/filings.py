@@ -10,6 +10,8 @@ from kessan.operators import audit, joins, sampling, select
 from kessan.plans import accruals, filing_index, labelled_sets
 from kessan.queries import steps
 from kessan.queries.registry import query
+from kessan.session import scratch_path
+from kessan.sources import lake
 
 _ID = "edinetCode AS \"edinetCode\", docID AS \"docID\""
 
@@ -289,7 +291,7 @@ def _(t):
     "filings line_facts",
 )
 def _(t):
-    return joins.with_facts(t.filings, t.line_facts).select("edinetCode", "docID")
+    return joins.with_facts(t.filings, t.landed_lines).select("edinetCode", "docID")
 
 
 @query(
@@ -298,7 +300,36 @@ def _(t):
     "pairs line_facts",
 )
 def _(t):
-    return joins.pairs_with_facts(select.year_pairs(t.filings), t.line_facts).select("prev_doc", "cur_doc")
+    return joins.pairs_with_facts(select.year_pairs(t.filings), t.landed_lines).select("prev_doc", "cur_doc")
+
+
+@query(
+    "manifest_agrees_with_facts", "J5 J15 S11",
+    "SELECT f.docID AS doc_id, count(*) AS n_rows, true AS same FROM filings f JOIN line_facts l ON l.doc_id = f.docID GROUP BY f.docID",
+    "filings line_facts",
+)
+def _(t):
+    """The landed filings by the manifest, beside a count over the facts themselves."""
+    told = joins.with_facts(t.filings, t.landed_lines).select(F.col("docID").alias("doc_id"))
+    counted = t.line_facts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("counted"))
+    both = told.join(t.landed_lines, "doc_id").join(counted, "doc_id", "full")
+    return both.select("doc_id", "n_rows", F.col("n_rows").eqNullSafe(F.col("counted")).alias("same"))
+
+
+@query(
+    "headers_from_side_table", "P7 P21 A19",
+    "SELECT doc_id, arg_max_null(value, src_ord) FILTER (element = 'jpdei_cor:AccountingStandardsDEI') AS standard, "
+    "arg_max_null(value, src_ord) FILTER (element = 'jpdei_cor:CurrentFiscalYearStartDateDEI') AS year_start, "
+    "bool_or(regexp_matches(lower(element), 'ifrs-full:|us-gaap:')) AS uses_other FROM header_facts GROUP BY doc_id",
+    "header_facts",
+)
+def _(t):
+    """The header side table as two landed batches leave it, of even and of odd filings."""
+    root = scratch_path(t.spark, "lake")
+    facts = t.header_facts.withColumn("entity_id", F.lit(None).cast("string"))
+    for batch in (0, 1):
+        lake.land_batch(facts.filter(F.expr(f"CAST(substr(doc_id, 2) AS BIGINT) % 2 = {batch}")), root, batch)
+    return lake.read_headers(t.spark, root).select("doc_id", "standard", "year_start", "uses_other")
 
 
 @query(

@@ -15,6 +15,13 @@ from kessan.sources.filings import (  # noqa: F401
     read_index_responses,
     read_judgements,
 )
+from kessan.sources.lake import (  # noqa: F401
+    land_batch,
+    land_by_filing,
+    read_by_filing,
+    read_headers,
+    read_manifest,
+)
 from kessan.sources.tables import (  # noqa: F401
     list_tables,
     read_statement_rows,

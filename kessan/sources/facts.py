@@ -19,13 +19,14 @@ FACT_FILE_OPTIONS = {
 }
 
 
-def named_facts(rows: DataFrame) -> DataFrame:
+def named_facts(rows: DataFrame, *further: str) -> DataFrame:
     """Rows of fact files (with ``path`` and ``src_ord``) under the names used here."""
     named = rows.withColumnsRenamed(FACT_FILE_COLUMNS)
     return named.select(
         doc_id_of(F.col("path")).alias("doc_id"),
         entity_id_of(F.col("path")).alias("entity_id"),
         *(name for name in FACTS.names if name not in ("doc_id", "entity_id")),
+        *further,
     )
 
 

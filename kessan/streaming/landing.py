@@ -8,6 +8,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from kessan.schema import FACT_FILE
 from kessan.sources.facts import FACT_FILE_OPTIONS, named_facts
+from kessan.sources.lake import land_batch
 
 
 def land_new_fact_files(
@@ -16,8 +17,9 @@ def land_new_fact_files(
     """Land the fact files that appeared since the last run, then stop.
 
     The checkpoint in ``state`` remembers which files were read, so a second run takes only
-    new ones. A batch is a folder of ``target`` that a repeated attempt overwrites, so a run
-    that broke off lands nothing twice. ``source`` is a folder pattern like
+    new ones. A batch is a folder of each table of the lake ``target`` (facts, and in
+    ``sources.lake`` the manifest and the header side table) that a repeated attempt overwrites, so a run that broke off lands
+    nothing twice. ``source`` is a folder pattern like
     ``corpus/annual/*``; ``state`` and ``target`` must be on storage all executors reach.
     """
     files = (
@@ -25,15 +27,13 @@ def land_new_fact_files(
         .options(**FACT_FILE_OPTIONS)
         .option("maxFilesPerTrigger", max_files)
         .csv(source)
-        .withColumn("path", F.col("_metadata.file_path"))
+        .withColumns({"path": F.col("_metadata.file_path"), "file_bytes": F.col("_metadata.file_size")})
     )
 
     def land(batch: DataFrame, number: int) -> None:
         # Tasks still hold whole files in their order here, so rows can be numbered.
         numbered = batch.withColumn("src_ord", F.monotonically_increasing_id())
-        named_facts(numbered).sortWithinPartitions("element", "doc_id").write.mode("overwrite").parquet(
-            f"{target}/batch={number}"
-        )
+        land_batch(named_facts(numbered, "path", "file_bytes"), target, number)
 
     return (
         files.writeStream.foreachBatch(land)
