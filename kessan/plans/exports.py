@@ -214,6 +214,15 @@ def full_wide(long: DataFrame, period_ends: Sequence[str]) -> DataFrame:
     return slot_pivot(long, ["edinet_code", "statement", "item"], period_ends, "periodEnd")
 
 
+def period_ends(long: DataFrame, most: int = 4000) -> list[str]:
+    """The period ends there are, in order: the columns of the wide export. A table of more than
+    ``most`` columns is refused rather than cut; eleven years of days are fewer."""
+    ends = sorted(r["periodEnd"] for r in long.select("periodEnd").distinct().limit(most + 1).collect())
+    if len(ends) > most:
+        raise ValueError(f"more than {most} period ends: use the long export")
+    return ends
+
+
 def full_wide_slots(long: DataFrame, years: int) -> DataFrame:
     """As ``full_wide`` with columns ``Y1..Yn``: companies end their years on different days."""
     named = long.withColumn("slot", F.concat(F.lit("Y"), F.col("slot").cast("string")))

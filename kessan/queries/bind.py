@@ -345,7 +345,9 @@ NEEDS = {"facts": ("line_facts", "header_facts", "text_facts"), "entities": ("fi
 
 
 #: Steps with several readers, computed once.
-MATERIALIZED = {"singles", "statements", "template_slots", "pairs"}
+MATERIALIZED = {
+    "dedup", "leaves", "singles", "statements", "template_slots", "pairs", "accrual_grid", "chosen_periods", "full_long",
+}
 
 
 def add_cte(name: str, sql: str, *needs: str) -> None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from kessan.operators import audit, facts, joins
 from kessan.plans import accruals, labelled_sets, statements
 from kessan.queries import steps  # noqa: F401
 from kessan.queries.registry import query
+from kessan.sources import lake
 from kessan.vocab import builtin_vocab
 
 _DIGEST = "count(*) AS n, CAST(sum(src_ord) AS BIGINT) AS ord_sum"
@@ -165,6 +168,19 @@ def _(t):
     return statements.statements(t.facts).select("doc_id", "statement", "item", "period", "value")
 
 
+@query(
+    "statements_landed_by_filing", "E1 K1 S1",
+    "SELECT doc_id, statement, item, period, value FROM statements",
+    "statements",
+)
+def _(t):
+    """As ``statements``, from facts landed in buckets by filing: nothing is shuffled after that."""
+    table = f"facts_{uuid.uuid4().hex}"
+    lake.land_by_filing(t.facts, table, int(t.spark.conf.get("spark.sql.shuffle.partitions")))
+    parsed = statements.statements(lake.read_by_filing(t.spark, table), placed=True)
+    return parsed.select("doc_id", "statement", "item", "period", "value")
+
+
 @query(
     "statement_maps", "A18",
     "SELECT doc_id, statement, count(*) AS n_items, '{' || string_agg(CAST(to_json(item) AS VARCHAR) || ':' || json, ',' "

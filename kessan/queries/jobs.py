@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kessan.operators import joins, select
@@ -11,7 +14,7 @@ from kessan.queries import steps
 from kessan.queries.aggregates import accrual_companies
 from kessan.queries.companies import pro_market
 from kessan.queries.registry import query
-from kessan.session import written
+from kessan.session import scratch_path, written
 
 # --- three-year table ----------------------------------------------------------------------
 
@@ -207,6 +210,40 @@ def _(t):
     return accruals.receivables_log(_grid(t))
 
 
+def _accrual_run(t) -> tuple[str, DataFrame]:
+    """One run of the job: its four tables on disk, and the counters its writers gave."""
+    root = scratch_path(t.spark, "accrual-run")
+    return root, accruals.write_accrual_run(accruals.accrual_inputs(t.facts, t.entities, accrual_companies(t)), root)
+
+
+steps.add_cte(
+    "accrual_outputs",
+    "SELECT 'inputs' AS kind, edinet_code, fiscal_year, doc_id AS detail FROM accrual_grid WHERE missing_reason = '' UNION ALL "
+    "SELECT 'missing', edinet_code, fiscal_year, missing_reason FROM accrual_grid WHERE missing_reason <> '' UNION ALL "
+    "SELECT 'receivables', edinet_code, fiscal_year, rec_rule FROM accrual_grid WHERE doc_id IS NOT NULL UNION ALL "
+    "SELECT 'duplicates', h.entity_id, h.fiscal_year, h.doc_id || '.tsv' FROM headers h JOIN best_year b ON h.entity_id = b.entity_id AND "
+    "h.fiscal_year = b.fiscal_year WHERE h.accepted AND h.doc_id <> b.doc_id AND h.fiscal_year BETWEEN 2015 AND 2024",
+    "accrual_grid", "best_year", "headers",
+)
+
+
+@query("accrual_run", "E4 Q1 Q2 Q3", "SELECT kind, edinet_code, CAST(fiscal_year AS INT) AS fiscal_year, detail FROM accrual_outputs", "accrual_outputs")
+def _(t):
+    """The four outputs of one run, read back from what it wrote."""
+    root, _ = _accrual_run(t)
+    details = {"inputs": "doc_id", "missing": "missing_reason", "duplicates": "skipped_tsv", "receivables": "rec_rule"}
+    read = [
+        t.spark.read.parquet(f"{root}/{kind}").select(F.lit(kind).alias("kind"), "edinet_code", F.col("fiscal_year").cast("int"), F.col(c).alias("detail"))
+        for kind, c in details.items()
+    ]
+    return reduce(DataFrame.union, read)
+
+
+@query("accrual_counters", "E4 A24", "SELECT kind, count(*) AS n FROM accrual_outputs GROUP BY kind", "accrual_outputs")
+def _(t):
+    return _accrual_run(t)[1]
+
+
 @query(
     "company_years", "J8",
     "SELECT c.entity_id, CAST(y.fiscal_year AS INT) AS fiscal_year, b.doc_id FROM companies c, (SELECT unnest(range(2015, 2025)) AS fiscal_year) y "
@@ -316,7 +353,7 @@ def _(t):
 steps.add_cte(
     "chosen_periods",
     "SELECT *, row_number() OVER (PARTITION BY edinetCode ORDER BY periodEnd) AS slot FROM (SELECT * FROM (SELECT * FROM filings WHERE periodEnd <> '' AND "
-    f"docID IN (SELECT doc_id FROM facts) QUALIFY row_number() OVER (PARTITION BY edinetCode, periodEnd ORDER BY {steps.SUBMIT_TIME} DESC NULLS LAST, docID DESC) = 1) "
+    f"docID IN (SELECT DISTINCT doc_id FROM facts) QUALIFY row_number() OVER (PARTITION BY edinetCode, periodEnd ORDER BY {steps.SUBMIT_TIME} DESC NULLS LAST, docID DESC) = 1) "
     "QUALIFY row_number() OVER (PARTITION BY edinetCode ORDER BY periodEnd DESC) <= 3)",
     "filings", "facts",
 )
@@ -365,6 +402,21 @@ def _(t):
     return exports.full_wide(_full(t), ["2015-03-31", "2016-03-31"])
 
 
+@query(
+    "full_export_all_period_ends", "A17 E6",
+    "SELECT i.edinet_code, i.statement, i.item, e.\"periodEnd\", l.value FROM "
+    "(SELECT DISTINCT edinetCode AS edinet_code, statement, item FROM full_long) i CROSS JOIN (SELECT DISTINCT periodEnd AS \"periodEnd\" FROM full_long) e "
+    "LEFT JOIN full_long l ON l.edinetCode = i.edinet_code AND l.statement = i.statement AND l.item = i.item AND l.periodEnd = e.\"periodEnd\"",
+    "full_long",
+)
+def _(t):
+    """The wide export with a column for every period end there is, and its columns turned to rows."""
+    long = written(_full(t), "full-long")
+    wide = exports.full_wide(long, exports.period_ends(long))
+    keys = ["edinet_code", "statement", "item"]
+    return wide.unpivot(keys, [F.col(f"`{c}`") for c in wide.columns if c not in keys], "periodEnd", "value")
+
+
 @query(
     "full_export_labels", "J13 E6",
     "SELECT edinetCode AS \"edinetCode\", periodEnd AS col, docID AS doc_id, periodEnd AS \"periodEnd\", submitDateTime AS \"submitDateTime\", "
@@ -505,3 +557,29 @@ _CATEGORY = "SELECT '{0}' AS kind, {0} AS name, count(*) AS n FROM companies WHE
 )
 def _(t):
     return corpus_audit.corpus_audit(t.filings, t.facts, t.companies)
+
+
+def _tagged(kind: str, name: str, n: str = "count(*)", first: str = "NULL", last: str = "NULL", of: str = "per_company", by: str = "GROUP BY 2") -> str:
+    days = f"CAST({first} AS VARCHAR) AS first_day, CAST({last} AS VARCHAR) AS last_day"
+    return f"SELECT '{kind}' AS kind, {name} AS name, CAST({n} AS BIGINT) AS n, {days} FROM {of} {by}"
+
+
+_START, _END = "TRY_CAST(periodStart AS DATE)", "TRY_CAST(periodEnd AS DATE)"
+_SUBMIT = "CAST(try_strptime(submitDateTime, '%Y-%m-%d %H:%M') AS DATE)"
+steps.add_cte("per_company", "SELECT edinetCode AS entity_id, count(*) AS n_filings FROM filings WHERE edinetCode IS NOT NULL GROUP BY edinetCode", "filings")
+
+
+@query(
+    "corpus_audit_whole", "E12 A4 A5 A6 A7 A8 A9",
+    " UNION ALL ".join([
+        _tagged("companies", "CASE WHEN n_filings >= 10 THEN 'complete' ELSE 'incomplete' END"),
+        *(_tagged(c, c, of="companies JOIN per_company USING (entity_id)") for c in ("listing", "consolidated", "entity_type", "industry")),
+        _tagged("filings_of_company", "entity_id", "max(n_filings)"),
+        _tagged("period", "NULL", first=f"min({_START})", last=f"max({_END})", of="filings", by=""),
+        _tagged("submitted", "NULL", first=f"min({_SUBMIT})", last=f"max({_SUBMIT})", of="filings", by=""),
+        _tagged("fiscal_start_year", "CAST(year AS VARCHAR)", of="start_years"),
+    ]),
+    "per_company start_years companies",
+)
+def _(t):
+    return corpus_audit.whole_audit(t.filings, t.facts, t.companies)
