@@ -70,6 +70,17 @@ def document_lists(files: DataFrame) -> DataFrame:
     return keyed.join(starts, ["entity_id", "_p"]).select("entity_id", place, "doc_id", "tsv_count")
 
 
+def document_texts(files: DataFrame, chunk: int = 1000) -> DataFrame:
+    """``entity_id, chunk, tsv_count, doc_ids``: the ids of each company in order, joined by commas. A
+    row holds at most ``chunk`` ids, so a company of that many filings is one row (chunk 0) and a
+    larger one goes on in further rows; the rows of a company, joined by commas, are its list."""
+    listed = document_lists(files).withColumn("chunk", F.floor((F.col("place") - 1) / chunk))
+    entry = F.sort_array(F.collect_list(F.struct("place", "doc_id")))
+    return listed.groupBy("entity_id", "chunk").agg(
+        F.max("tsv_count").alias("tsv_count"), F.array_join(F.transform(entry, lambda e: e["doc_id"]), ",").alias("doc_ids")
+    )
+
+
 def run_counters(**outputs: DataFrame) -> DataFrame:
     """``kind, n``: rows per named output; an empty output counts 0. One aggregation counts all."""
     kinds = None

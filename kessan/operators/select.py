@@ -16,6 +16,7 @@ from pyspark.sql import window as W
 
 from kessan.functions import filters
 from kessan.functions.dates import day, one_year_later_day, submit_time
+from kessan.session import written
 
 FAR_PAST = "0001-01-01 00:00:00"
 
@@ -106,34 +107,24 @@ def adjacent_filings(filings: DataFrame) -> DataFrame:
     """Neighbouring filings of a company by (period start, id): ``prev_doc, cur_doc`` and
     their starts and ends.
 
-    Within one start date neighbours come from a window over that date; across dates from
-    the last filing of a date and the first of the next date, found among the company's
-    distinct dates.
+    Filings are dealt out by ranges of (company, start, id) and written, so a company or a date
+    with half of all filings is several tasks. Within a range the next row is the neighbour; the
+    last row of a range meets the first row of the next one, of which there is one per range.
     """
-    keys = ["edinetCode", "periodStart"]
-    side = F.struct("docID", "periodStart", "periodEnd")
-    within = filings.withColumn(
-        "_next", F.lead(side).over(W.Window.partitionBy(*keys).orderBy("docID"))
-    ).filter(F.col("_next").isNotNull())
-    ends = filings.groupBy(*keys).agg(
-        F.min_by(side, "docID").alias("_first"), F.max_by(side, "docID").alias("_last")
-    )
-    across = ends.withColumn(
-        "_next", F.lead("_first").over(W.Window.partitionBy("edinetCode").orderBy("periodStart"))
-    ).filter(F.col("_next").isNotNull())
-    columns = lambda prev: [
+    order = ["edinetCode", "periodStart", "docID"]
+    dealt = filings.select(*order, "periodEnd").repartitionByRange(*order)
+    keyed = written(dealt.withColumn("_range", F.spark_partition_id()), "filing-ranges")
+    row = F.struct(*order, "periodEnd")
+    heads = keyed.groupBy("_range").agg(F.min(row).alias("_head"))
+    after = heads.select("_range", F.lead("_head").over(W.Window.orderBy("_range")).alias("_head"))
+    following = F.lead(row).over(W.Window.partitionBy("_range").orderBy(*order))
+    both = keyed.withColumn("_next", following).join(after, "_range").withColumn("_next", F.coalesce("_next", "_head"))
+    return both.filter(F.col("_next").isNotNull() & F.col("_next.edinetCode").eqNullSafe(F.col("edinetCode"))).select(
         "edinetCode",
-        prev["docID"].alias("prev_doc"),
-        prev["periodStart"].alias("prev_start"),
-        prev["periodEnd"].alias("prev_end"),
-        F.col("_next.docID").alias("cur_doc"),
-        F.col("_next.periodStart").alias("cur_start"),
+        F.col("docID").alias("prev_doc"), F.col("periodStart").alias("prev_start"), F.col("periodEnd").alias("prev_end"),
+        F.col("_next.docID").alias("cur_doc"), F.col("_next.periodStart").alias("cur_start"),
         F.col("_next.periodEnd").alias("cur_end"),
-    ]
-    row = within.select("edinetCode", side.alias("_this"), "_next")
-    last = across.select("edinetCode", F.col("_last").alias("_this"), "_next")
-    both = row.unionByName(last)
-    return both.select(*columns(F.col("_this")))
+    )
 
 
 def year_pairs(filings: DataFrame) -> DataFrame:

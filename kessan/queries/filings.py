@@ -402,6 +402,17 @@ def _(t):
     return row.select("n_filings", *(F.col(c).cast("string").alias(c) for c in row.columns[1:]))
 
 
+@query(
+    "document_texts", "A8",
+    "SELECT edinetCode AS entity_id, chunk, max(n) AS tsv_count, string_agg(docID, ',' ORDER BY docID) AS doc_ids FROM (SELECT edinetCode, docID, "
+    "(row_number() OVER (PARTITION BY edinetCode ORDER BY docID) - 1) // 4 AS chunk, count(*) OVER (PARTITION BY edinetCode) AS n FROM filings) GROUP BY edinetCode, chunk",
+    "filings",
+)
+def _(t):
+    """Four ids to a row, so that companies of the given tables need several."""
+    return audit.document_texts(t.entities, chunk=4)
+
+
 @query(
     "document_lists", "A8 S11",
     "SELECT edinetCode AS entity_id, row_number() OVER (PARTITION BY edinetCode ORDER BY docID) AS place, docID AS doc_id, "

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kessan import sinks, sources
 from kessan.operators import joins, select
 from kessan.plans import accruals, corpus_audit, exports, filing_index, labelled_sets, mart
 from kessan.plans.statements import statements
@@ -211,9 +212,12 @@ def _(t):
 
 
 def _accrual_run(t) -> tuple[str, DataFrame]:
-    """One run of the job: its four tables on disk, and the counters its writers gave."""
+    """One run of the job on a target list from a file: its four tables on disk, and the counters its
+    writers gave."""
     root = scratch_path(t.spark, "accrual-run")
-    return root, accruals.write_accrual_run(accruals.accrual_inputs(t.facts, t.entities, accrual_companies(t)), root)
+    sinks.write_csv(accrual_companies(t).withColumn("file_count", F.lit(1)), f"{root}/targets")
+    listed = sources.read_target_list(t.spark, f"{root}/targets")
+    return root, accruals.write_accrual_run(accruals.accrual_inputs(t.facts, t.entities, listed), root)
 
 
 steps.add_cte(
@@ -227,7 +231,7 @@ steps.add_cte(
 )
 
 
-@query("accrual_run", "E4 Q1 Q2 Q3", "SELECT kind, edinet_code, CAST(fiscal_year AS INT) AS fiscal_year, detail FROM accrual_outputs", "accrual_outputs")
+@query("accrual_run", "E4 Q1 Q2 Q3 S7", "SELECT kind, edinet_code, CAST(fiscal_year AS INT) AS fiscal_year, detail FROM accrual_outputs", "accrual_outputs")
 def _(t):
     """The four outputs of one run, read back from what it wrote."""
     root, _ = _accrual_run(t)
@@ -295,11 +299,11 @@ steps.add_cte(
 )
 
 
-def _template(t):
-    slots = exports.template_slots(t.annual, 3)
+def _template(t, items=TEMPLATE, filings=None):
+    slots = exports.template_slots(t.annual if filings is None else filings, 3)
     chosen = t.facts.join(slots.select(F.col("docID").alias("doc_id")), "doc_id", "left_semi")
-    values = exports.template_values(statements(chosen, only=("BS", "PL")), TEMPLATE)
-    return exports.template_long(slots, values, TEMPLATE)
+    values = exports.template_values(statements(chosen, only=("BS", "PL")), items)
+    return exports.template_long(slots, values, items)
 
 
 @query(
@@ -330,6 +334,27 @@ def _(t):
     return exports.template_table(_template(t), 3)
 
 
+@query(
+    "template_export_from_files", "E5 S7",
+    "SELECT edinetCode AS \"edinetCode\", place, target, max(CASE WHEN slot = 'Y1' THEN value END) AS \"Y1\", max(CASE WHEN slot = 'Y2' THEN value END) AS \"Y2\", "
+    "max(CASE WHEN slot = 'Y3' THEN value END) AS \"Y3\" FROM template_long WHERE place < 12 GROUP BY 1, 2, 3",
+    "template_long",
+)
+def _(t):
+    """The job with its inputs as files: a shorter template, and the list of filings to take."""
+    root = scratch_path(t.spark, "template-job")
+    form = [(n, item, None, None, None) for n, item in enumerate(TEMPLATE[:12])]
+    template = t.spark.createDataFrame(form, "place int, `項目` string, Y1 string, Y2 string, Y3 string").coalesce(1)
+    sinks.write_csv(template.sortWithinPartitions("place").drop("place"), f"{root}/template")
+    listed = t.annual.select(F.col("docID").alias("doc_id"), "submitDateTime", "docDescription")
+    sinks.write_marked_csv(listed, f"{root}/filings")
+    items = sources.template_items(sources.read_template(t.spark, f"{root}/template"))
+    wanted = sources.read_filings_list(t.spark, f"{root}/filings").select(F.col("doc_id").alias("docID"))
+    table = exports.template_table(_template(t, items, t.annual.join(wanted, "docID", "left_semi")), 3)
+    places = F.element_at(F.create_map(*(F.lit(x) for i, n in _ITEMS for x in (n, i))), F.col("target"))
+    return table.withColumn("place", places.cast(table.schema["place"].dataType))
+
+
 @query(
     "never_filled_items", "Q4 A15",
     "SELECT edinetCode AS \"edinetCode\", target AS missing_items FROM template_long WHERE target NOT IN ('株価', 'EPS（1株当たり利益）') "

@@ -34,6 +34,37 @@ def _(t):
     )
 
 
+_FAULT = (
+    "CASE CAST(substr(doc_id, 2) AS BIGINT) % 50 WHEN 1 THEN 'short' WHEN 2 THEN 'long' ELSE 'none' END"
+)
+
+
+@query(
+    "faulty_lines_accounted", "S1 S2",
+    f"SELECT element, {_FAULT} AS fault, count(*) AS n, count(CASE WHEN {_FAULT} <> 'short' AND nullif(value, '') IS NOT NULL THEN 1 END) AS n_value, "
+    f"CASE WHEN {_FAULT} = 'none' THEN 0 ELSE count(*) END AS n_kept FROM facts GROUP BY 1, 2",
+    "facts",
+)
+def _(t):
+    """All facts, texts with quotes and line breaks too, as files in which some filings' lines lack
+    two cells and some have three too many; every line is used, and every faulty one kept whole."""
+    path = scratch_path(t.spark, "faulty-files")
+    cells = [F.lit("") if c == "unit_id" else F.coalesce(F.col(c), F.lit("")) for c in FACT_FILE_COLUMNS.values()]
+    shapes = {"none": cells, "short": cells[:-2], "long": [*cells, *[F.lit("more")] * 3]}
+    for fault, shape in shapes.items():
+        lines = t.facts.filter(F.expr(_FAULT) == fault).select(*(c.alias(f"c{i}") for i, c in enumerate(shape)))
+        lines.write.option("sep", "\t").option("header", True).option("encoding", "UTF-16").option("quoteAll", True).option(
+            "escape", '"').csv(f"{path}/annual/{fault}")
+    scan = sources.scan_fact_files(t.spark, f"{path}/annual/*")
+    used, kept, _ = sources.split_scan(scan, f"{path}/landed")
+    found = used.select("element", F.coalesce("fault", F.lit("none")).alias("fault"), "value", F.lit(0).cast("long").alias("kept"))
+    first = F.regexp_extract("bad_line", '^"?([^"\\t]*)', 1)
+    both = found.union(kept.select(first, "fault", F.lit(None).cast("string"), F.lit(1).cast("long")))
+    return both.groupBy("element", "fault").agg(
+        F.sum(1 - F.col("kept")).alias("n"), F.count("value").alias("n_value"), F.sum("kept").alias("n_kept")
+    )
+
+
 @query(
     "landed_facts_read_back", "S1 S3 K1",
     "SELECT element, count(*) AS n, count(value) AS n_value FROM facts WHERE element LIKE 'jpdei%' GROUP BY element",

@@ -8,7 +8,14 @@ from kessan.sources.companies import (  # noqa: F401
     read_target_list,
     read_ticker_list,
 )
-from kessan.sources.facts import land_facts, read_fact_files, read_facts, read_header_columns  # noqa: F401
+from kessan.sources.facts import (  # noqa: F401
+    land_facts,
+    read_fact_files,
+    read_facts,
+    read_header_columns,
+    scan_fact_files,
+    split_scan,
+)
 from kessan.sources.filings import (  # noqa: F401
     list_corpus,
     read_filing_metadata,

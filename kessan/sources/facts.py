@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kessan.functions.text import doc_id_of, entity_id_of
 from kessan.schema import FACT_FILE, FACT_FILE_COLUMNS, FACTS
@@ -45,6 +46,42 @@ def read_fact_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+#: Where the reader puts the text of a line it could not fit into the columns.
+BAD_LINE = "bad_line"
+
+
+def scan_fact_files(spark: SparkSession, path: str) -> DataFrame:
+    """As ``read_fact_files``, with ``path`` and, for lines that do not have nine cells, their text
+    in ``bad_line`` and what is wrong in ``fault``: ``short``, ``long``, or ``quote`` where a quote is
+    never closed and the line runs on to the end of the file. Their cells are cut or filled with nulls."""
+    schema = T.StructType([*FACT_FILE.fields, T.StructField(BAD_LINE, T.StringType())])
+    rows = spark.read.schema(schema).options(**FACT_FILE_OPTIONS, columnNameOfCorruptRecord=BAD_LINE).csv(path)
+    text = F.col(BAD_LINE)
+    count = lambda mark: F.length(text) - F.length(F.replace(text, F.lit(mark)))
+    fault = F.when(count('"') % 2 == 1, "quote").when(count("\t") < len(FACT_FILE) - 1, "short").otherwise("long")
+    return named_facts(
+        rows.withColumn("src_ord", F.monotonically_increasing_id()).withColumns(
+            {"path": F.col("_metadata.file_path"), "fault": F.when(text.isNotNull(), fault)}
+        ),
+        "path", BAD_LINE, "fault",
+    )
+
+
+def split_scan(scan: DataFrame, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``scan`` parsed once into ``root``; from there the facts that may be used, the table of faulty
+    lines, kept whole in ``root``/quarantine, and ``entity_id, doc_id, fault, n``: how many lines
+    of each file have a fault. Short and long lines are used, cut or filled, as the rules say; a
+    line with an open quote is not, since its last cell holds the rest of the file."""
+    spark = scan.sparkSession
+    scan.write.mode("overwrite").parquet(f"{root}/lines")
+    lines = spark.read.schema(scan.schema).parquet(f"{root}/lines")
+    faulty = lines.filter(F.col("fault").isNotNull()).select("entity_id", "doc_id", "src_ord", "fault", BAD_LINE)
+    faulty.write.mode("overwrite").parquet(f"{root}/quarantine")
+    kept = spark.read.schema(faulty.schema).parquet(f"{root}/quarantine")
+    counts = kept.groupBy("entity_id", "doc_id", "fault").agg(F.count(F.lit(1)).alias("n"))
+    return lines.filter("fault IS NULL OR fault <> 'quote'"), kept, counts
+
+
 def land_facts(facts: DataFrame, path: str, mode: str = "append") -> None:
     """The parquet copy all jobs read: sorted by element within each file, so that a filter
     on elements skips row groups. No shuffle: tasks write what they read."""

@@ -7,9 +7,10 @@ import re
 
 import pytest
 from filing_helpers import SF_DIR, fact, rows
+from pyspark.sql import functions as F
 
 from kessan import sources
-from kessan.operators import joins
+from kessan.operators import audit, joins, select
 from kessan.operators.facts import FACT_KEYS, header_side, prints, unique_facts
 from kessan.plans import accruals, exports
 from kessan.plans.statements import statements
@@ -110,3 +111,50 @@ def test_period_ends_are_refused_rather_than_cut(spark):
     assert exports.period_ends(long) == [f"2020-01-{i:02d}" for i in range(1, 6)]
     with pytest.raises(ValueError, match="long export"):
         exports.period_ends(long, most=4)
+
+
+def test_faulty_lines_are_kept_and_counted(spark, corpus, tmp_path):
+    corpus.add("E1", "S1", [fact("x:A"), fact("x:B", value='a "q"\nnext line')], extra_lines=(
+        '"x:short"\t"l"', "\t".join(['"x:long"', *['"v"'] * 14]), "\t".join(['"x:good"', *['"v"'] * 8])))
+    corpus.add("E1", "S2", [fact("x:A")], extra_lines=('"x:open"\t"never closed', "\t".join(['"x:lost"', *["v"] * 8])))
+    scan = sources.scan_fact_files(spark, corpus.pattern)
+    used, kept, counts = sources.split_scan(scan, str(tmp_path / "scan"))
+    assert rows(counts, "doc_id", "fault", "n") == [("S1", "long", 1), ("S1", "short", 1), ("S2", "quote", 1)]
+    assert rows(used, "doc_id", "element") == [("S1", "x:A"), ("S1", "x:B"), ("S1", "x:good"), ("S1", "x:long"), ("S1", "x:short"), ("S2", "x:A")]
+    assert used.filter("element = 'x:B'").first().value == 'a "q"\nnext line'
+    assert used.filter("element = 'x:long'").first().value == "v" and used.filter("element = 'x:short'").first().value is None
+    (lost,) = [r.bad_line for r in kept.filter("fault = 'quote'").collect()]
+    assert "x:open" in lost and "x:lost" in lost
+    whole = sources.scan_fact_files(spark, corpus.pattern.replace("*", "E1")).filter("doc_id = 'none'")
+    assert sources.split_scan(whole, str(tmp_path / "empty"))[2].count() == 0
+
+
+@pytest.fixture
+def small_ranges(spark):
+    """Small partitions stay apart, as large ones would."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.unset(name)
+
+
+def test_neighbours_of_a_company_with_half_the_filings_on_one_date(spark, small_ranges):
+    """Its rows are dealt to several tasks, and no pair is lost at their borders."""
+    n = 3000
+    hot = spark.range(n).selectExpr("'hot' AS edinetCode", "lpad(CAST(id AS STRING), 5, '0') AS docID", "'2020-04-01' AS periodStart", "'2021-03-31' AS periodEnd")
+    rest = spark.range(n).selectExpr("concat('E', id DIV 3) AS edinetCode", "lpad(CAST(id + 9000 AS STRING), 5, '0') AS docID",
+                                     "CASE WHEN id % 7 = 0 THEN NULL ELSE concat('20', 10 + id % 3, '-01-01') END AS periodStart", "'x' AS periodEnd")
+    filings = hot.union(rest)
+    got = select.adjacent_filings(filings)
+    ordered = sorted(filings.collect(), key=lambda r: (r.edinetCode, r.periodStart or "", r.docID))
+    want = [(a.edinetCode, a.docID, b.docID, a.periodStart, b.periodStart) for a, b in zip(ordered, ordered[1:]) if a.edinetCode == b.edinetCode]
+    assert sorted(map(tuple, got.select("edinetCode", "prev_doc", "cur_doc", "prev_start", "cur_start").collect()), key=str) == sorted(want, key=str)
+    dealt = filings.repartitionByRange("edinetCode", "periodStart", "docID").groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in dealt) < n
+
+
+def test_id_texts_are_bounded_and_joined_give_the_list(spark):
+    files = spark.createDataFrame([("E1", f"S{i:03d}") for i in range(25)] + [("E2", "S9")], "entity_id string, doc_id string")
+    got = rows(audit.document_texts(files, chunk=10), "entity_id", "chunk", "tsv_count", "doc_ids")
+    assert [r[1] for r in got] == [0, 1, 2, 0] and got[3][2:] == (1, "S9")
+    assert ",".join(r[3] for r in got[:3]).split(",") == [f"S{i:03d}" for i in range(25)] and {r[2] for r in got[:3]} == {25}
