@@ -11,9 +11,10 @@ all but a few vectors out of its best ``k``; those left are rescored exactly. No
 guess: where nothing is proven, all segments are read.
 
 Components are ``floor(scale * x)``. Vectors that are null or hold null or non-finite components
-take no part, as rows without an id; rows of equal id are vectors of their own, but not found by
-queries of that id. A vector of zeros has no postings and score zero. Fewer than ``k`` other
-vectors are all returned. Components must be below 2^20 in size, so that sums are exact.
+take no part, as rows without an id. Rows of equal id are vectors of their own: each is a query
+and answered for itself, and finds the others. A vector of zeros has no postings and score zero.
+Fewer than ``k`` other vectors are all returned. Scores are exact at any size of the components;
+components and scores beyond the range of a long are set to its ends.
 """
 
 from __future__ import annotations
@@ -23,29 +24,28 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kessan.llm.vector_blocks import BLOCK, QUERY_GROUP, best, counts, every, part_of, parts, usable
+from kessan.llm.vector_blocks import BLOCK, QUERY_GROUP, best, counts, every, numbered, part_of, parts, usable
 from kessan.session import written
 
 #: Queries whose accumulators are held at a time, and vectors per wanted one at which a query stops.
 AT_ONCE, STOP_AT = 256, 8
+LONGEST = (1 << 63) - 1
 
 
 def quantised(df: DataFrame, scale: float, key: str, vector: str) -> DataFrame:
-    """``key, vector array<long>, size``."""
+    """``key, vector array<long>, size, row``."""
     scaled = F.transform("vector", lambda x: F.floor(x * F.lit(float(scale))).cast("long"))
-    return usable(df, key, vector).withColumn("vector", scaled)
+    return numbered(usable(df, key, vector).withColumn("vector", scaled), "quantised")
 
 
 def build_index(vectors: DataFrame, blocks: Column) -> DataFrame:
-    """``size, block, impact, term, keys, places``: the posting segments of every block, term
+    """``size, block, impact, term, keys, rows, places``: the posting segments of every block, term
     ``2 d`` or ``2 d + 1`` for a positive or negative component of dimension ``d``. The segment
     of impact 0 and term -1 lists all vectors of the block."""
 
     def block(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("key", kind="stable")
-        matrix = np.stack(rows["vector"].to_numpy()).astype(np.int64)
-        if np.abs(matrix).max() >= 1 << 20:
-            raise ValueError("components must be below 2^20 in size")
+        matrix = np.maximum(np.stack(rows["vector"].to_numpy()).astype(np.int64), -LONGEST)
         place, dimension = np.nonzero(matrix)
         value = matrix[place, dimension]
         impact, term = np.abs(value), 2 * dimension + (value < 0)
@@ -56,11 +56,12 @@ def build_index(vectors: DataFrame, blocks: Column) -> DataFrame:
         return pd.DataFrame({
             "size": int(rows["size"].iloc[0]), "block": int(rows["block"].iloc[0]),
             "impact": [0, *impact[starts].tolist()], "term": [-1, *term[starts].tolist()],
-            "keys": [rows["key"].to_numpy(), *[None] * len(segments)], "places": [None, *segments],
+            "keys": [rows["key"].to_numpy(), *[None] * len(segments)],
+            "rows": [rows["row"].to_numpy(), *[None] * len(segments)], "places": [None, *segments],
         })
 
     placed = vectors.withColumn("block", part_of(blocks, 3))
-    schema = "size int, block int, impact long, term int, keys array<long>, places array<int>"
+    schema = "size int, block int, impact long, term int, keys array<long>, rows array<long>, places array<int>"
     return written(placed.groupBy("size", "block").applyInPandas(block, schema), "impact-index")
 
 
@@ -78,55 +79,67 @@ class _Block:
 
     def __init__(self, rows: pd.DataFrame, size: int):
         every_one = rows[rows["term"] < 0].iloc[0]
-        self.keys, self.size = np.asarray(every_one["keys"], np.int64), size
+        self.keys, self.rows = np.asarray(every_one["keys"], np.int64), np.asarray(every_one["rows"], np.int64)
+        self.size = size
         segments = rows[rows["term"] >= 0].sort_values("impact", ascending=False, kind="stable")
         counts = segments["places"].map(len).to_numpy().astype(np.int64)
         self.impact = np.repeat(segments["impact"].to_numpy().astype(np.int64), counts)
         self.term = np.repeat(segments["term"].to_numpy().astype(np.int64), counts)
         parts = segments["places"].to_list()
         self.place = np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64)
-        self.full = self.part(0, len(self.impact))
-        self.waves, at = [], 0
-        left = (self.full**2).sum(axis=1)
+        # What is unread of each vector after each wave, as a length; the segments stay as they are.
+        self.waves, at, size_of = [], 0, self.impact.astype(float) ** 2
+        left = np.bincount(self.place, size_of, len(self.keys))
+        self.lengths = np.sqrt(left)
         for least in _waves(self.impact):
             end = int(np.searchsorted(-self.impact, -least, "right"))
-            matrix = self.part(at, end)
-            left = left - (matrix**2).sum(axis=1)
-            self.waves.append((matrix, np.sqrt(np.maximum(left, 0))))
+            left = left - np.bincount(self.place[at:end], size_of[at:end], len(self.keys))
+            rest = np.sqrt(np.maximum(left, 0)) if end < len(self.impact) else np.zeros(len(self.keys))
+            self.waves.append((at, end, rest + 1e-7 * self.lengths * (end < len(self.impact))))
             at = end
 
-    def part(self, start: int, end: int) -> np.ndarray:
-        matrix = np.zeros((len(self.keys), self.size))
+    def part(self, start: int, end: int, kind: type = float) -> np.ndarray:
+        matrix = np.zeros((len(self.keys), self.size), kind)
         sign = 1 - 2 * (self.term[start:end] & 1)
         matrix[self.place[start:end], self.term[start:end] >> 1] = sign * self.impact[start:end]
         return matrix
 
 
-def _search(block: _Block, ids: np.ndarray, queries: np.ndarray, k: int) -> pd.DataFrame:
-    """The best ``k`` of the block for each query, exactly."""
+def _products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """Row by row inner products of integers, exact; beyond the range of a long its ends."""
+    if float(np.abs(queries).max(initial=0)) * float(np.abs(vectors).max(initial=0)) * queries.shape[1] < 2.0**62:
+        return (queries * vectors).sum(axis=1)
+    exact = (queries.astype(object) * vectors.astype(object)).sum(axis=1)
+    return np.array([max(-LONGEST - 1, min(LONGEST, x)) for x in exact], np.int64)
+
+
+def _search(block: _Block, ids: np.ndarray, rows: np.ndarray, whole: np.ndarray, k: int) -> pd.DataFrame:
+    """The best ``k`` of the block for each query, exactly. ``whole``: the queries as integers."""
+    queries, full = whole.astype(float), block.part(0, len(block.impact), np.int64)
     n, found = len(block.keys), []
     open_ = np.arange(len(ids))
     sums = np.zeros((len(ids), n))
-    sums[ids[:, None] == block.keys[None, :]] = -np.inf
+    sums[rows[:, None] == block.rows[None, :]] = -np.inf
     lengths = np.sqrt((queries**2).sum(axis=1))
-    for matrix, left in block.waves or [(np.zeros((n, block.size)), np.zeros(n))]:
-        sums[open_] += queries[open_] @ matrix.T
-        last = not left.any()
+    for start, end, left in block.waves or [(0, 0, np.zeros(n))]:
+        sums[open_] += queries[open_] @ block.part(start, end).T
+        last = end == len(block.impact)
         if not last and left.max() * lengths.max() > np.abs(sums[open_][np.isfinite(sums[open_])]).max(initial=0):
             continue  # too early for any proof
-        slack = lengths[open_][:, None] * left[None, :] * (1 + 1e-9) + 1e-6
+        # What is unread, and what the sums of doubles may be off by.
+        slack = lengths[open_][:, None] * (left * (1 + 1e-9) + 1e-12 * block.lengths)[None, :] + 1e-6
         low = sums[open_] - slack
         bar = np.partition(low, n - k, axis=1)[:, n - k] if n > k else np.full(len(open_), -np.inf)
         possible = (sums[open_] + slack >= bar[:, None]) & np.isfinite(sums[open_])
         done = np.ones(len(open_), bool) if last else possible.sum(axis=1) <= STOP_AT * k
         at, place = np.nonzero(possible[done])
         at = open_[done][at]
-        exact = (queries[at] * block.full[place]).sum(axis=1).astype(np.int64)
+        exact = _products(whole[at], full[place])
         order = np.lexsort((block.keys[place], -exact, at))
         at, place, exact = at[order], place[order], exact[order]
         first = np.searchsorted(at, at, "left")
         keep = np.arange(len(at)) - first < k
-        found.append(pd.DataFrame({"query_id": ids[at[keep]], "vec_id": block.keys[place[keep]], "score": exact[keep]}))
+        found.append(pd.DataFrame({"query_row": rows[at[keep]], "query_id": ids[at[keep]], "vec_id": block.keys[place[keep]], "score": exact[keep]}))
         open_ = open_[~done]
         if not len(open_):
             break
@@ -148,14 +161,14 @@ def top_k(
 
     def search(segments: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         if not len(segments) or not len(rows):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+            return pd.DataFrame({"query_row": [], "query_id": [], "vec_id": [], "score": []})
         block = _Block(segments, int(segments["size"].iloc[0]))
-        matrix = np.stack(rows["vector"].to_numpy()).astype(float)
-        ids = rows["key"].to_numpy()
-        runs = range(0, len(ids), AT_ONCE)
-        return pd.concat([_search(block, ids[i : i + AT_ONCE], matrix[i : i + AT_ONCE], k) for i in runs])
+        matrix = np.maximum(np.stack(rows["vector"].to_numpy()).astype(np.int64), -LONGEST)
+        ids, numbers = rows["key"].to_numpy(), rows["row"].to_numpy()
+        runs = [slice(i, i + AT_ONCE) for i in range(0, len(ids), AT_ONCE)]
+        return pd.concat([_search(block, ids[r], numbers[r], matrix[r], k) for r in runs])
 
     found = read.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(
-        search, "query_id long, vec_id long, score long"
+        search, "query_row long, query_id long, vec_id long, score long"
     )
-    return best(found, k, F.desc("score"))
+    return best(found, k, F.desc("score")).drop("query_row")

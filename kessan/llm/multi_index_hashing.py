@@ -12,7 +12,8 @@ The radius is learned, too: the one that holds ``held`` of the true neighbours i
 whose neighbours are farther than those of all rows. A query that finds fewer than ``k`` is asked
 again with twice the radius, up to all codes, so no query gets less than there is. All vectors are
 indexed. Null vectors, zero ones, those with null or non-finite components, and rows without an
-id take no part. Rows of equal id are vectors of their own, but not found by queries of that id.
+id take no part. Rows of equal id are vectors of their own: each is a query and answered for
+itself, and finds the others.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kessan.llm.vector_blocks import BLOCK, QUERY_GROUP, best, by_size, counts, every, part_of, parts, usable
+from kessan.llm.vector_blocks import BLOCK, QUERY_GROUP, best, by_size, counts, every, numbered, part_of, parts, usable
 from kessan.session import written
 
 #: Vectors that rotations and radius are learned on, about, of each length; bits of a code, at least.
@@ -69,9 +70,7 @@ def learn(vectors: np.ndarray, k: int, held: float, bits: int = BITS, seed: int
     codes = Codes(mean, rotation, 0).of(vectors)
     asked = dice.permutation(n)[:256]
     near = max(1, min(k, n - 1))
-    distance = ((centred[asked, None, :] - centred[None, :, :]) ** 2).sum(axis=2) if n * size < 1 << 15 else (
-        (centred[asked] ** 2).sum(1)[:, None] - 2 * centred[asked] @ centred.T + (centred**2).sum(1)[None, :]
-    )
+    distance = (centred[asked] ** 2).sum(1)[:, None] - 2 * centred[asked] @ centred.T + (centred**2).sum(1)[None, :]
     distance[np.arange(len(asked)), asked] = np.inf
     nearest = np.argsort(distance, axis=1, kind="stable")[:, :near]
     apart = np.bitwise_count(codes[asked][:, None, :] ^ codes[nearest]).sum(axis=2, dtype=int)
@@ -95,18 +94,19 @@ def build_index(vectors: DataFrame, codes: dict[int, Codes], blocks: Column) ->
         starts = np.stack([np.searchsorted(np.sort(c), np.arange(257)) for c in code.T]).astype("<i4")
         return pd.DataFrame({
             "size": rows["size"].iloc[:1].to_numpy(), "block": rows["block"].iloc[:1].to_numpy(),
-            "keys": [rows["key"].to_numpy().astype("<i8").tobytes()], "vectors": [matrix.tobytes()],
+            "keys": [rows["key"].to_numpy().astype("<i8").tobytes()],
+            "rows": [rows["row"].to_numpy().astype("<i8").tobytes()], "vectors": [matrix.tobytes()],
             "codes": [code.tobytes()], "tables": [order.T.tobytes()], "starts": [starts.tobytes()],
         })
 
     placed = vectors.withColumn("block", part_of(blocks, 3))
-    schema = "size int, block int, keys binary, vectors binary, codes binary, tables binary, starts binary"
+    schema = "size int, block int, keys binary, rows binary, vectors binary, codes binary, tables binary, starts binary"
     return written(placed.groupBy("size", "block").applyInPandas(block, schema), "hash-index")
 
 
 def _search(index: pd.Series, asked: pd.DataFrame, codes: Codes, k: int) -> pd.DataFrame:
     size = int(index["size"])
-    keys = np.frombuffer(index["keys"], "<i8")
+    keys, rows = np.frombuffer(index["keys"], "<i8"), np.frombuffer(index["rows"], "<i8")
     n, m = len(keys), codes.rotation.shape[1] // 8
     vectors = np.frombuffer(index["vectors"], "<f8").reshape(n, size)
     code = np.frombuffer(index["codes"], np.uint8).reshape(n, m)
@@ -115,7 +115,7 @@ def _search(index: pd.Series, asked: pd.DataFrame, codes: Codes, k: int) -> pd.D
     probes, out = _probes(), []
     matrix = np.stack(asked["vector"].to_numpy()).astype(float)
     wanted = codes.of(matrix)
-    for row, (query, radius) in enumerate(zip(asked["key"], asked["radius"], strict=True)):
+    for row, (query, own, radius) in enumerate(zip(asked["key"], asked["row"], asked["radius"], strict=True)):
         bits, more = divmod(min(int(radius), 8 * m), m)
         hit = np.zeros(n, bool)
         for j in range(m):
@@ -127,12 +127,12 @@ def _search(index: pd.Series, asked: pd.DataFrame, codes: Codes, k: int) -> pd.D
             count = end - begin
             at = np.repeat(begin - np.cumsum(count) + count, count) + np.arange(count.sum())
             hit[tables[j, at]] = True
-        found = np.flatnonzero(hit & (keys != query))
+        found = np.flatnonzero(hit & (rows != own))
         apart = np.bitwise_count(code[found] ^ wanted[row]).sum(axis=1, dtype=int)
         found = found[apart <= radius]
         distance = np.sqrt(((vectors[found] - matrix[row]) ** 2).sum(axis=1))
         order = np.lexsort((keys[found], distance))[:k]
-        out.append(pd.DataFrame({"query_id": query, "vec_id": keys[found[order]], "score": distance[order]}))
+        out.append(pd.DataFrame({"query_row": own, "query_id": query, "vec_id": keys[found[order]], "score": distance[order]}))
     return pd.concat(out)
 
 
@@ -141,7 +141,7 @@ def nearest(
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row that satisfies ``is_query`` (of column
     ``key``) its ``k`` nearest others among those found, ties to the smaller id."""
-    vectors = usable(df, key, vector).filter(F.exists("vector", lambda x: x != 0))
+    vectors = numbered(usable(df, key, vector).filter(F.exists("vector", lambda x: x != 0)), "vectors")
     total = counts(vectors)
     # The rows with the lowest hashes: about SAMPLE of each length, whatever the table's size.
     share = by_size({size: min(1.0, SAMPLE / n) for size, n in total.items()}, 0.0)
@@ -158,7 +158,7 @@ def nearest(
     widest = by_size({size: c.rotation.shape[1] for size, c in codes.items()}, 0)
     queries = written(
         vectors.filter(is_query).select(
-            "key", "vector", "size", radius.alias("radius"), widest.alias("widest"), (by_size(total, 1) - 1).alias("others")
+            "key", "row", "vector", "size", radius.alias("radius"), widest.alias("widest"), (by_size(total, 1) - 1).alias("others")
         ),
         "hash-queries",
     )
@@ -168,22 +168,22 @@ def nearest(
 
     def search(block: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         if not len(block) or not len(rows):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+            return pd.DataFrame({"query_row": [], "query_id": [], "vec_id": [], "score": []})
         return _search(block.iloc[0], rows, codes[int(block["size"].iloc[0])], k)
 
     result = None
     while True:
         asked = queries.withColumn("part", part_of(groups, 5)).withColumn("block", every(blocks))
         found = read.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(
-            search, "query_id long, vec_id long, score double"
+            search, "query_row long, query_id long, vec_id long, score double"
         )
         ranked = written(best(found, k, F.asc("score")), "hash-found")
-        sizes = ranked.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
-        rest = queries.join(sizes, queries["key"] == sizes["query_id"], "left").filter(
+        sizes = ranked.groupBy("query_row").agg(F.count(F.lit(1)).alias("n"))
+        rest = queries.join(sizes, queries["row"] == sizes["query_row"], "left").filter(
             (F.coalesce("n", F.lit(0)) < F.least(F.lit(k), "others")) & (F.col("radius") < F.col("widest"))
-        ).select("key", "vector", "size", F.least(F.col("radius") * 2 + 1, "widest").alias("radius"), "widest", "others")
+        ).select("key", "row", "vector", "size", F.least(F.col("radius") * 2 + 1, "widest").alias("radius"), "widest", "others")
         again = written(rest, "hash-queries")
-        done = ranked.join(again.select(F.col("key").alias("query_id")), "query_id", "left_anti")
+        done = ranked.join(again.select(F.col("row").alias("query_row")), "query_row", "left_anti").drop("query_row")
         result = done if result is None else result.unionByName(done)
         if again.isEmpty():
             return result

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kessan.llm.columns import narrow
+from kessan.session import written
 
 BLOCK, QUERY_GROUP = 8192, 4096
 
@@ -25,6 +26,11 @@ def usable(df: DataFrame, key: str, vector: str) -> DataFrame:
     return named.filter(F.col("key").isNotNull() & (F.size("vector") > 0) & finite).withColumn("size", F.size("vector"))
 
 
+def numbered(rows: DataFrame, name: str) -> DataFrame:
+    """``rows``, written, with a number (``row``) that tells rows of equal ids apart."""
+    return written(rows.withColumn("row", F.monotonically_increasing_id()), name)
+
+
 def counts(rows: DataFrame) -> dict[int, int]:
     """Rows per vector length; lengths are few, whatever the table's size."""
     return {r["size"]: r["n"] for r in rows.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -52,6 +58,6 @@ def every(count: Column) -> Column:
 
 
 def best(found: DataFrame, k: int, *order: Column) -> DataFrame:
-    """``found`` (``query_id, vec_id, score``) ranked within each query, ``rank`` from 1 to ``k``."""
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(*order, "vec_id"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    """``found`` (``query_row, query_id, vec_id, score``) ranked within each query, ``rank`` from 1 to ``k``."""
+    rank = F.row_number().over(Window.partitionBy("query_row").orderBy(*order, "vec_id"))
+    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_row", "query_id", "rank", "vec_id", "score")

@@ -22,7 +22,7 @@ def odd_rows():
     rows = [(i, [float(x) for x in v]) for i, v in enumerate(dice.integers(-3, 4, (60, 6)) / 4)]
     rows += [(100 + i, list(rows[5][1])) for i in range(30)]  # ties
     rows += [(200, [0.0] * 6), (201, [0.0] * 6), (202, None), (203, [1.0, None] + [0.0] * 4), (204, [float("nan")] + [1.0] * 5),
-             (205, [float("inf")] * 6), (None, [1.0] * 6), (206, [1.0, 2.0]), (207, [2.0, 1.0]), (208, [])]
+             (205, [float("inf")] * 6), (7, [0.25] * 6), (7, [0.25] * 6), (3, [-0.5, 0.0, 0.75, 0.0, 0.0, 0.25]), (None, [1.0] * 6), (206, [1.0, 2.0]), (207, [2.0, 1.0]), (208, [])]
     return rows
 
 
@@ -34,8 +34,8 @@ def plain(rows, k, scored, take_zero):
     ok = [(i, np.array(v)) for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all()]
     ok = [(i, v) for i, v in ok if take_zero or v.any()]
     out = []
-    for i, q in ok:
-        others = sorted((*scored(q, v), j) for j, v in ok if j != i and len(v) == len(q))[:k]
+    for place, (i, q) in enumerate(ok):
+        others = sorted((*scored(q, v), j) for other, (j, v) in enumerate(ok) if other != place and len(v) == len(q))[:k]
         out += [(i, r, o[-1], o[1]) for r, o in enumerate(others, 1)]
     return sorted(out)
 
@@ -65,9 +65,9 @@ def test_waves_stop_on_proof_only():
 
     rows = pd.DataFrame({"impact": abs(value), "term": 2 * dimension + (value < 0), "place": place})
     segments = rows.groupby(["impact", "term"])["place"].apply(np.array).rename("places").reset_index()
-    first = pd.DataFrame({"impact": [0], "term": [-1], "places": [None], "keys": [np.arange(700)]})
+    first = pd.DataFrame({"impact": [0], "term": [-1], "places": [None], "keys": [np.arange(700)], "rows": [np.arange(700)]})
     block = impact_topk._Block(pd.concat([first, segments]), 32)
-    got = impact_topk._search(block, np.arange(0, 700, 7), vectors[::7].astype(float), 5)
+    got = impact_topk._search(block, np.arange(0, 700, 7), np.arange(0, 700, 7), vectors[::7], 5)
     assert len(block.waves) > 4
     for q, part in got.groupby("query_id"):
         s = vectors @ vectors[q]
@@ -75,9 +75,29 @@ def test_waves_stop_on_proof_only():
         assert [(-a, b) for a, b in zip(part["score"], part["vec_id"], strict=True)] == want
 
 
-def test_too_large_components_are_an_error(spark):
-    with pytest.raises(Exception, match="2\\^20"):
-        impact_topk.top_k(make(spark, [(1, [1e9]), (2, [1.0])]), F.lit(True), 1, 64).collect()
+def test_large_components_are_scored_exactly(spark):
+    """Products that doubles cannot hold apart, and some that no long can hold."""
+    big = float(2**27)
+    rows = [(1, [big, 1.0, 0.0]), (2, [big, 2.0, 0.0]), (3, [big, 3.0, 1.0]), (4, [-big, 1.0, 1.0]), (5, [0.0, 1.0, 2.0])]
+
+    def scored(q, v):
+        s = sum(int(np.floor(a * 4)) * int(np.floor(b * 4)) for a, b in zip(q, v, strict=True))
+        return -s, s
+
+    got = impact_topk.top_k(make(spark, rows), F.lit(True), 4, 4)
+    assert sorted(map(tuple, got.collect())) == plain(rows, 4, scored, True)
+    huge = impact_topk.top_k(make(spark, [(1, [1e30]), (2, [1e30]), (3, [-1e30]), (4, [1.0])]), F.lit(True), 3, 64)
+    top = {(r["query_id"], r["vec_id"]): r["score"] for r in huge.collect()}
+    assert top[1, 2] == 2**63 - 1 and top[1, 3] == -(2**63) and len(top) == 12
+
+
+def test_queries_of_one_id_are_answered_each(spark):
+    """A second row of an id: both rows are queries with answers of their own, and find each other."""
+    dice = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(dice.integers(-9, 9, (30, 4)))]
+    rows.append((0, [float(x) for x in dice.integers(-9, 9, 4)]))
+    for found in (impact_topk.top_k(make(spark, rows), F.col("key") == 0, 20, 1), multi_index_hashing.nearest(make(spark, rows), F.col("key") == 0, 20, held=1.0)):
+        assert sorted(r["rank"] for r in found.collect()) == sorted(2 * list(range(1, 21)))
 
 
 def test_nearest_query_recall_and_scores(spark):
@@ -121,10 +141,10 @@ def test_probing_retrieves_every_code_in_the_radius():
         order = np.argsort(code, axis=0, kind="stable").astype("<i4")
         starts = np.stack([np.searchsorted(np.sort(c), np.arange(257)) for c in code.T]).astype("<i4")
         index = pd.Series({
-            "size": 16, "keys": np.arange(400).astype("<i8").tobytes(), "vectors": vectors.tobytes(),
+            "size": 16, "keys": np.arange(400).astype("<i8").tobytes(), "rows": np.arange(400).astype("<i8").tobytes(), "vectors": vectors.tobytes(),
             "codes": code.tobytes(), "tables": order.T.tobytes(), "starts": starts.tobytes(),
         })
-        asked = pd.DataFrame({"key": [0, 1], "radius": radius, "vector": [vectors[0], vectors[1]]})
+        asked = pd.DataFrame({"key": [0, 1], "row": [0, 1], "radius": radius, "vector": [vectors[0], vectors[1]]})
         found = multi_index_hashing._search(index, asked, codes, 400)
         for q in (0, 1):
             apart = np.bitwise_count(code ^ code[q]).sum(axis=1, dtype=int)
