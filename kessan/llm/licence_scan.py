@@ -15,6 +15,9 @@ directory. Equal rows are scanned alike; an empty table gives an empty one.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,12 +39,74 @@ TEMPLATES = {
     "MIT": "Released under the MIT License",
     "MPL-2.0": "This file is subject to the terms of the Mozilla Public License, version 2.0",
 }
+# Licence texts that are short as a whole, and the notices that longer ones ask for.
+TEXTS = {
+    "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to
+use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom
+the Software is furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES
+OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS
+BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF
+OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products
+derived from this software without specific prior written permission.
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT
+NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.""",
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
+provided that the above copyright notice and this permission notice appear in all copies.
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED
+WARRANTIES OF MERCHANTABILITY AND FITNESS.""",
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+http://www.apache.org/licenses/LICENSE-2.0
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.""",
+    "GPL-2.0": """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+You should have received a copy of the GNU General Public License along
+with this program; if not, write to the Free Software Foundation, Inc.""",
+    "GPL-3.0": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+You should have received a copy of the GNU General Public License
+along with this program. If not, see https://www.gnu.org/licenses/.""",
+    "LGPL-3.0": """This library is free software: you can redistribute it and/or modify
+it under the terms of the GNU Lesser General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+}
 # Words that only sentences about licences hold, and names of licence files.
 CUES = "(?i)licen[sc]e|copyright|redistribution|spdx"
 FILE_NAMES = "(?i)^(licen[sc]e|copying|copyright|notice)([.-][a-z0-9.-]*)?$"
 _SENTENCE = r"(?<=[.!?])\s+|\n"
 
 
+def known_templates() -> list[tuple[str, str]]:
+    """``licence, text`` of every template: what licences say in a sentence, whole texts and notices,
+    and what ``header`` leaves of these in a file that is not a licence file."""
+    about = {
+        name: "\n".join(s for s in re.split(_SENTENCE, text) if re.search(CUES, s)) for name, text in TEXTS.items()
+    }
+    return sorted({(name, text) for some in (TEMPLATES, TEXTS, about) for name, text in some.items() if text})
+
+
 def base_name(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 
@@ -75,11 +140,11 @@ def _weights(bags: DataFrame, total: int) -> DataFrame:
     return weighed.join(sizes, "bag")
 
 
-def matched(headers: DataFrame, templates: dict[str, str], least: float) -> DataFrame:
+def matched(headers: DataFrame, templates: Sequence[tuple[str, str]], least: float) -> DataFrame:
     """``header, licence, score`` of each distinct header that is near a template. ``headers``:
-    ``header, n``."""
+    ``header, n``; a licence may have several templates."""
     spark = headers.sparkSession
-    known = small_table(spark, sorted(templates.items()), licence=TEXT, header=TEXT)
+    known = small_table(spark, sorted(templates), licence=TEXT, header=TEXT)
     bags = written(
         headers.select(F.col("header").alias("bag"), "n").unionByName(known.select(F.col("header").alias("bag"), F.lit(1).alias("n")))
         .groupBy("bag").agg(F.sum("n").alias("n")),
@@ -88,9 +153,9 @@ def matched(headers: DataFrame, templates: dict[str, str], least: float) -> Data
     total = bags.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     weights = written(_weights(bags, total), "licence-weights")
     theirs = weights.join(known.withColumnRenamed("header", "bag"), "bag").select(
-        "licence", "word", (F.col("weight") / F.col("size")).alias("theirs")
+        "licence", F.col("bag").alias("template"), "word", (F.col("weight") / F.col("size")).alias("theirs")
     )
-    shared = weights.join(written(theirs, "licence-templates"), "word").groupBy("bag", "licence").agg(
+    shared = weights.join(written(theirs, "licence-templates"), "word").groupBy("bag", "licence", "template").agg(
         F.sum(F.col("weight") / F.col("size") * F.col("theirs")).alias("score")
     )
     score = F.round("score", 6)
@@ -113,7 +178,7 @@ def _inherited(own: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def scan(
-    files: DataFrame, templates: dict[str, str] | None = None, least: float = 0.6, key: str = "doc_id",
+    files: DataFrame, templates: Sequence[tuple[str, str]] | None = None, least: float = 0.6, key: str = "doc_id",
     path: str = "path", text: str = "text", is_licence_file: Column | None = None,
 ) -> DataFrame:
     """``key, path, licence, score, inherited_from`` per file. ``score`` is null for inherited
@@ -125,7 +190,7 @@ def scan(
     )
     found = written(found, "licence-headers")
     distinct = found.filter("header IS NOT NULL").groupBy("header").agg(F.count(F.lit(1)).alias("n"))
-    known = written(matched(distinct, templates or TEMPLATES, least), "licence-matches")
+    known = written(matched(distinct, templates or known_templates(), least), "licence-matches")
     # Files without a header get a join key of their own, so that they meet in no one task.
     keyed = found.withColumn("header", F.coalesce("header", F.concat(F.lit("\0"), F.coalesce("path", F.lit("")), F.col("key").cast("string"))))
     scanned = written(keyed.join(known, "header", "left").select("key", "path", "whole", "licence", "score"), "licences")

@@ -147,26 +147,27 @@ def op9_simhash_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_blocks.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_distance=2)
 
 
-#: Documents of up to this many characters with a licence header stand in for licence files.
+#: Short documents with a licence sentence are named as licence files.
 NOTICE = 400
 
 
 @query
 def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The licence of every document, own or inherited. Documents are files of a directory per
-    language in one per source; short ones with a licence sentence are their licence files."""
-    files = table(spark, sf_dir, "documents").withColumn(
-        "path", F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")), F.lpad(F.col("doc_id").cast("string"), 12, "0"))
-    )
-    notice = (F.char_length("text") <= NOTICE) & F.col("text").rlike(licence_scan.CUES)
-    return licence_scan.scan(files, is_licence_file=notice)
+    """The licence of every document, own or inherited. Documents become files: notices are the
+    ``LICENSE`` files of a directory per source and language, the others lie in directories below."""
+    home = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")))
+    number = F.lpad(F.col("doc_id").cast("string"), 12, "0")
+    notice = F.coalesce((F.char_length("text") <= NOTICE) & F.col("text").rlike(licence_scan.CUES), F.lit(False))
+    below = F.concat_ws("/", home, F.substring(number, 12, 1), number)
+    path = F.when(notice, F.concat(home, F.lit("/LICENSE-"), number)).otherwise(below)
+    return licence_scan.scan(table(spark, sf_dir, "documents").withColumn("path", path))
 
 
 _HEADERS = """
 WITH files AS (
-  SELECT doc_id, concat_ws('/', coalesce(source, 'none'), coalesce(lang, 'none'), lpad(CAST(doc_id AS VARCHAR), 12, '0')) AS path,
-    coalesce(source, 'none') || '/' || coalesce(lang, 'none') AS dir, text,
-    coalesce(length(text) <= {notice} AND regexp_matches(text, '{cues}'), false) AS whole FROM documents
+  SELECT doc_id, dir || CASE WHEN whole THEN '/LICENSE-' || number ELSE '/' || substr(number, 12, 1) || '/' || number END AS path, dir, text, whole
+  FROM (SELECT doc_id, lpad(CAST(doc_id AS VARCHAR), 12, '0') AS number, coalesce(source, 'none') || '/' || coalesce(lang, 'none') AS dir, text,
+    coalesce(length(text) <= {notice} AND regexp_matches(text, '{cues}'), false) AS whole FROM documents)
 ), headers AS (
   SELECT doc_id, path, dir, whole, CASE WHEN whole THEN text WHEN regexp_matches(text, '{cues}') THEN array_to_string(list_filter(
     string_split_regex(regexp_replace(text, '([.!?])[ \t\n\r\f\v]+', '\1' || chr(10), 'g'), '\n'), lambda x: regexp_matches(x, '{cues}')), chr(10)) END AS header FROM files
@@ -178,7 +179,7 @@ terms AS (SELECT bag, n, word, count(*) AS tf FROM (SELECT bag, n, unnest(list_f
 weights AS (SELECT bag, word, tf * (ln((1.0 + (SELECT sum(n) FROM bags)) / (1 + sum(n) OVER (PARTITION BY word))) + 1) AS weight FROM terms),
 units AS (SELECT bag, word, weight / sqrt(sum(weight * weight) OVER (PARTITION BY bag)) AS unit FROM weights),
 scores AS (SELECT u.bag, t.licence, round(sum(u.unit * v.unit), 6) AS score FROM units u JOIN units v ON u.word = v.word
-  JOIN templates t ON t.bag = v.bag GROUP BY u.bag, t.licence),
+  JOIN templates t ON t.bag = v.bag GROUP BY u.bag, t.licence, t.bag),
 best AS (SELECT bag, licence, score FROM scores QUALIFY row_number() OVER (PARTITION BY bag ORDER BY score DESC, licence) = 1),
 scanned AS (SELECT doc_id, path, dir, whole, b.licence, b.score FROM headers h LEFT JOIN best b ON h.header = b.bag AND b.score >= 0.6),
 own AS (SELECT dir, arg_min(licence, path) AS theirs FROM scanned WHERE whole AND licence IS NOT NULL GROUP BY dir)
@@ -187,7 +188,7 @@ FROM scanned LEFT JOIN own USING (dir)"""
 SQL["op10_licence_scan"] = _HEADERS.format(
     notice=NOTICE,
     cues=licence_scan.CUES,
-    templates=", ".join(f"('{name}', '{text}')" for name, text in sorted(licence_scan.TEMPLATES.items())),
+    templates=", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in licence_scan.known_templates()),
 )
 
 

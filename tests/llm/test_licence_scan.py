@@ -62,3 +62,22 @@ def test_root_licence_covers_all(spark):
     assert got[2] == ("MIT", "", False) and got[3] == ("MIT", "", False)
 
 
+
+
+def test_real_licence_texts(spark):
+    """A whole text with its copyright line, a source file with a header, and a notice in comments."""
+    mit = "MIT License\n\nCopyright (c) 2019 Some Person\n\n" + licence_scan.TEXTS["MIT"].replace("\n", " ")
+    commented = lambda name, mark: "\n".join(f"{mark} {line}" for line in licence_scan.TEXTS[name].split("\n"))
+    got = scanned(spark, [
+        (1, "a/LICENSE", mit),
+        (2, "b/main.py", "#!/usr/bin/env python\n# Copyright 2020 The Authors.\n#\n" + commented("Apache-2.0", "#") + "\nimport os\nprint(os.getcwd())\n"),
+        (3, "c/prog.c", commented("GPL-3.0", " *") + "\n */\nint main(void) { return 0; }\n"),
+        (4, "d/old.c", commented("GPL-2.0", " *") + "\n */\nint x;\n"),
+        (5, "e/COPYING", "Copyright 2001 Others\n" + licence_scan.TEXTS["BSD-3-Clause"]),
+        (6, "f/lib.js", commented("MPL-2.0", "//") + "\nlet x = 1;\n"),
+        (7, "g/LICENCE.txt", "Copyright 1999 One\n" + licence_scan.TEXTS["ISC"]),
+        (8, "a/deep/er/f.txt", "words only"),
+        (9, "h/prose.txt", "A novel about a ship. The captain had a licence to sail, and little else."),
+    ])
+    assert [got[i][0] for i in range(1, 10)] == ["MIT", "Apache-2.0", "GPL-3.0", "GPL-2.0", "BSD-3-Clause", "MPL-2.0", "ISC", "MIT", None]
+    assert got[8][1] == "a"
