@@ -31,7 +31,7 @@ from kessan.llm.columns import mapped
 #: Bytes of matches a worker remembers, and characters of the longest one.
 REMEMBERED, LONGEST = 64_000_000, 64
 #: Rows of a step of an Arrow batch, and the characters of text that are encoded at a time.
-STEP, STEP_SIZE = 4096, 8_000_000
+STEP, STEP_SIZE = 1024, 2_000_000
 
 # Code points that some engines count as white space and others do not are never cut at.
 _NO_CUT = r"\s\x1c-\x1f\x85\u180e\u200b\ufeff"
