@@ -42,17 +42,17 @@ _FAULT = (
 @query(
     "faulty_lines_accounted", "S1 S2",
     f"SELECT element, {_FAULT} AS fault, count(*) AS n, count(CASE WHEN {_FAULT} <> 'short' AND nullif(value, '') IS NOT NULL THEN 1 END) AS n_value, "
-    f"CASE WHEN {_FAULT} = 'none' THEN 0 ELSE count(*) END AS n_kept FROM facts GROUP BY 1, 2",
-    "facts",
+    f"CASE WHEN {_FAULT} = 'none' THEN 0 ELSE count(*) END AS n_kept FROM (SELECT * FROM header_facts UNION ALL SELECT * FROM text_facts) GROUP BY 1, 2",
+    "header_facts text_facts",
 )
 def _(t):
-    """All facts, texts with quotes and line breaks too, as files in which some filings' lines lack
+    """All header and text facts, with quotes and line breaks too, as files in which some filings' lines lack
     two cells and some have three too many; every line is used, and every faulty one kept whole."""
     path = scratch_path(t.spark, "faulty-files")
     cells = [F.lit("") if c == "unit_id" else F.coalesce(F.col(c), F.lit("")) for c in FACT_FILE_COLUMNS.values()]
     shapes = {"none": cells, "short": cells[:-2], "long": [*cells, *[F.lit("more")] * 3]}
     for fault, shape in shapes.items():
-        lines = t.facts.filter(F.expr(_FAULT) == fault).select(*(c.alias(f"c{i}") for i, c in enumerate(shape)))
+        lines = t.header_facts.unionByName(t.text_facts).filter(F.expr(_FAULT) == fault).select(*(c.alias(f"c{i}") for i, c in enumerate(shape)))
         lines.write.option("sep", "\t").option("header", True).option("encoding", "UTF-16").option("quoteAll", True).option(
             "escape", '"').csv(f"{path}/annual/{fault}")
     scan = sources.scan_fact_files(t.spark, f"{path}/annual/*")
