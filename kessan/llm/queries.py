@@ -95,7 +95,8 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
 def op5_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its repeated passages of 35 words and more, as digests."""
     found = relative_lz.remove_repeats(table(spark, sf_dir, "documents"), window=35)
-    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    digest = F.sha2("kept", 256).alias("kept_sha256")
+    return found.select("doc_id", "n_words", "n_removed", digest, F.size("factors").cast("long").alias("n_factors"))
 
 
 @query

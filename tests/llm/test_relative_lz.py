@@ -58,6 +58,51 @@ def test_small_alphabet_against_counting(spark, docs, seed):
     assert len(rows) == len(texts)
     for r in rows:
         assert sum(s["end"] - s["start"] for s in r["spans"]) == r["n_removed"]
+    check_factors(rows, {i: (t or "").encode().split() for i, t in enumerate(texts)}, 35)
+
+
+def check_factors(rows, words, window):
+    """Each factor equals its source's words, which stand at another place, and goes as far as that source does."""
+    by_block = {}
+    for r in rows:
+        by_block.setdefault(r["block"], []).append((r["position"], r["doc_id"]))
+    n = 0
+    for r in rows:
+        for f in r["factors"]:
+            start, source = max(x for x in by_block[f["block"]] if x[0] <= f["position"])
+            mine, theirs, at = words[r["doc_id"]], words[source], f["position"] - start
+            assert f["length"] >= window
+            assert (source, at) != (r["doc_id"], f["start"])
+            assert mine[f["start"] : f["start"] + f["length"]] == theirs[at : at + f["length"]]
+            n += 1
+        assert [f["start"] for f in r["factors"]] == sorted({f["start"] for f in r["factors"]})
+    assert n
+
+
+def test_long_copies_are_one_factor_across_phrases(spark, docs):
+    """Copies of 400 words, in the middle and at the ends of texts that are otherwise their own."""
+    passage = [f"p{i}" for i in range(400)]
+    own = lambda k, n: [f"o{k}x{i}" for i in range(n)]
+    texts = [own(0, 50) + passage + own(1, 50), passage + own(2, 90), own(3, 10) + passage, own(4, 300)]
+    rows = {r["doc_id"]: r for r in relative_lz.remove_repeats(docs([" ".join(t) for t in texts])).collect()}
+    assert [rows[i]["n_removed"] for i in range(4)] == [400, 400, 400, 0]
+    check_factors(rows.values(), dict(enumerate(texts)), 35)
+    for i, start in enumerate((50, 0, 10)):
+        assert rows[i]["spans"][0]["start"] == start and len(rows[i]["spans"]) == 1
+    assert rows[3]["factors"] == []
+    # Whole phrases have one first and one last place, so their sources go on; only the windows
+    # at the two borders may have sources of their own.
+    for i in range(3):
+        assert len(rows[i]["factors"]) <= 3 and max(f["length"] for f in rows[i]["factors"]) >= 300
+
+
+def test_greedy_parse_of_given_runs():
+    """The source that reaches farthest wins; a window over a border starts a factor of its own."""
+    place = 1000
+    runs = [(0, 5, 2000, 3000), (5, 5, 2005, 9005), (10, 1, 7000, 7000), (30, 2, 1030, 1500)]
+    assert relative_lz.parse(runs, place, 35) == [(0, 44, 2000), (10, 35, 7000), (30, 36, 1500)]
+    assert relative_lz.covered_spans(relative_lz.parse(runs, place, 35)) == [(0, 66)]
+    assert relative_lz.parse([], place, 35) == []
 
 
 def test_phrases_of_any_window_against_counting():
