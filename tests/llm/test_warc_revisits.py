@@ -72,3 +72,59 @@ def test_empty_table_and_members(spark, pages):
     assert [p for _, _, p in warc_revisits.parse_records(twice)] == [b"ab", b"ab"]
     with pytest.raises(ValueError):
         list(warc_revisits.parse_records(record[:-1] + b"x"))
+
+
+def foreign(kind, record_id, block, content_type="application/http; msgtype=response", *more):
+    lines = ["WARC/1.0", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:{record_id}>", "WARC-Date: 2020-02-02T00:00:00Z", *more]
+    lines += [f"Content-Type: {content_type}"] if content_type else []
+    return "\r\n".join([*lines, f"Content-Length: {len(block)}", "", ""]).encode() + block + b"\r\n\r\n"
+
+
+def test_archives_of_other_writers(spark, tmp_path):
+    """A member per record, other record types, uuids, no HTTP length, payloads that are no text, wrong digests."""
+    image, http = bytes(range(256)) * 300, b"HTTP/1.0 200 OK\r\nServer: x\r\n\r\n"
+    wrong = "WARC-Payload-Digest: sha1:AAAA"
+    records = [
+        foreign("warcinfo", "0", b"software: x\r\n", "application/warc-fields"),
+        foreign("request", "1", b"GET / HTTP/1.0\r\n\r\n", "application/http; msgtype=request", "WARC-IP-Address: 10.0.0.1"),
+        foreign("response", "a", http + image, "application/http;msgtype=response", "WARC-Target-URI: http://x/a", wrong),
+        foreign("response", "b", http + image, "application/http;msgtype=response", "WARC-Target-URI: http://x/b"),
+        foreign("resource", "c", image, "image/png"),
+        foreign("response", "d", b"dns", "text/dns"),
+        foreign("revisit", "e", http, "application/http; msgtype=response", "WARC-Refers-To: <urn:uuid:old>", "WARC-Profile: http://p", wrong),
+    ]
+    source, target = tmp_path / "other", tmp_path / "without"
+    source.mkdir()
+    (source / "a.warc.gz").write_bytes(b"".join(map(gzip.compress, records)))
+    warc_revisits.resolve_revisits(spark, str(source), str(target))
+    found = {}
+    for path in target.glob("part-*.gz"):
+        for warc, http_fields, payload in warc_revisits.parse_records(path.read_bytes()):
+            found[warc["warc-record-id"].removeprefix("<urn:uuid:").rstrip(">")] = (warc, http_fields, payload)
+    assert sorted(found) == ["0", "1", "a", "b", "c", "d", "e"]
+    digest = "sha1:" + base64.b32encode(hashlib.sha1(image).digest()).decode()
+    assert found["0"][0]["warc-type"] == "warcinfo" and found["0"][2] == b"software: x\r\n"
+    assert found["0"][0]["content-type"] == "application/warc-fields"
+    assert found["1"][0]["warc-ip-address"] == "10.0.0.1"
+    assert found["a"][0]["warc-type"] == "revisit" and found["a"][0]["warc-refers-to"] == "<urn:uuid:b>" and found["a"][2] == b""
+    assert found["a"][0]["warc-payload-digest"] == digest and found["a"][0]["warc-refers-to-target-uri"] == "http://x/b"
+    assert found["b"][0]["warc-type"] == "response" and found["b"][2] == image and found["b"][1] == {"server": "x"}
+    assert found["c"][0]["warc-type"] == "resource" and found["c"][2] == image
+    assert found["d"][2] == b"dns" and found["e"][0]["warc-refers-to"] == "<urn:uuid:old>"
+    assert found["e"][0]["warc-profile"] == "http://p" and found["e"][0]["warc-payload-digest"] == "sha1:AAAA"
+    rows = {r["record_id"]: r for r in warc_revisits.read_archives(spark, str(target)).collect()}
+    assert rows["urn:uuid:b"]["payload"] is None and bytes(rows["urn:uuid:b"]["content"]) == image
+    assert rows["urn:uuid:d"]["payload"] == "dns" and rows["urn:uuid:d"]["id"] is None
+    # Once more changes nothing but the order.
+    again = tmp_path / "again"
+    warc_revisits.resolve_revisits(spark, str(target), str(again))
+    read = lambda path: sorted(map(str, warc_revisits.read_archives(spark, str(path)).collect()))
+    assert read(again) == read(target)
+
+
+def test_archives_cut_short_are_errors():
+    whole = gzip.compress(foreign("response", "a", b"HTTP/1.0 200 OK\r\n\r\n" + b"x" * 1000))
+    assert len(list(warc_revisits.parse_records(whole))) == 1
+    for data in (whole[:-9], gzip.decompress(whole)[:-1], gzip.decompress(whole)[:40]):
+        with pytest.raises(ValueError):
+            list(warc_revisits.parse_records(data))
