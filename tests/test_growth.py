@@ -47,3 +47,19 @@ def test_company_years_are_not_broadcast(spark):
     )
     log = accruals.receivables_log(accruals.accrual_rows(t.facts, t.entities, companies))
     assert re.search(r"SortMergeJoin \[entity_id[^\]]*fiscal_year", plan_of(log))
+
+
+def test_chosen_filings_are_found_among_narrow_rows(spark):
+    """No whole fact is shuffled to find those of the chosen filings."""
+    from kessan.plans.statements import statements
+
+    t = Tables(spark, SF_DIR)
+    docs = t.annual.select(F.col("docID").alias("doc_id"))
+    parsed = statements(t.facts, docs=docs)
+    for exchange in re.findall(r"Exchange hashpartitioning\([^\n]*\n[^\n]*", plan_of(parsed)):
+        assert "rel_year" not in exchange
+    kept = {r.doc_id for r in docs.collect()}
+    columns = "doc_id", "statement", "item", "value"
+    text = lambda df: sorted(map(str, rows_of(df)))
+    rows_of = lambda df: [r for r in df.select(*columns).collect() if r.doc_id in kept]
+    assert text(parsed) == text(statements(t.facts)) and {r.doc_id for r in parsed.collect()} <= kept
