@@ -85,7 +85,7 @@ def split_scan(scan: DataFrame, root: str) -> tuple[DataFrame, DataFrame, DataFr
 def land_facts(facts: DataFrame, path: str, mode: str = "append") -> None:
     """The parquet copy all jobs read: sorted by element within each file, so that a filter
     on elements skips row groups. No shuffle: tasks write what they read."""
-    facts.sortWithinPartitions("element", "doc_id").write.mode(mode).parquet(path)
+    facts.sortWithinPartitions("element", "doc_id").write.mode(mode).option("compression", "zstd").parquet(path)
 
 
 def read_facts(spark: SparkSession, path: str) -> DataFrame:

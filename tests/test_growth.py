@@ -63,3 +63,28 @@ def test_chosen_filings_are_found_among_narrow_rows(spark):
     text = lambda df: sorted(map(str, rows_of(df)))
     rows_of = lambda df: [r for r in df.select(*columns).collect() if r.doc_id in kept]
     assert text(parsed) == text(statements(t.facts)) and {r.doc_id for r in parsed.collect()} <= kept
+
+
+def test_tasks_that_make_facts_are_bounded(spark, monkeypatch):
+    from kessan.queries import bind
+
+    monkeypatch.setattr(bind, "ROWS_A_TASK", 100)
+    t = Tables(spark, SF_DIR)
+    lines = t.raw("lineitem")
+    assert t.line_facts.rdd.getNumPartitions() >= lines.count() // 100
+
+
+def test_facts_of_a_line_by_either_expressions(spark):
+    from kessan.queries import bind
+
+    schema = ("l_orderkey bigint, l_partkey bigint, l_linenumber int, l_extendedprice double, l_tax double, "
+              "l_returnflag string, l_linestatus string")
+    lines = [(o, p, n, price, tax, flag, status) for o, (p, n, price, tax, flag, status) in enumerate([
+        (7, 1, 10.5, 0.01, "A", "F"), (8, 5, 99.99, 0.07, "N", "O"), (9, 7, 0.0, 0.08, "R", "F"), (None, 5, 3.0, 0.066, None, None),
+        (11, None, 4.25, None, "N", "F"), (12, 2, None, 0.02, "A", "O"), (13, 7, -5.5, 0.07, "R", None)])]
+    made = spark.createDataFrame(lines, schema)
+    whole = made.select("*", bind._spark_line_facts()).select(*bind._spark_columns(bind.LINE_COLUMNS))
+    shared = made.select(*bind._spark_columns(bind.LINE_SHARED)).select("*", bind._spark_line_facts())
+    parts = shared.select(*bind._spark_columns(bind.FACT_OF_LINE))
+    assert whole.schema.simpleString() == parts.schema.simpleString() and parts.count() == 14 * len(lines)
+    assert sorted(map(str, whole.collect())) == sorted(map(str, parts.collect()))
