@@ -88,3 +88,17 @@ def test_facts_of_a_line_by_either_expressions(spark):
     parts = shared.select(*bind._spark_columns(bind.FACT_OF_LINE))
     assert whole.schema.simpleString() == parts.schema.simpleString() and parts.count() == 14 * len(lines)
     assert sorted(map(str, whole.collect())) == sorted(map(str, parts.collect()))
+
+
+def test_facts_landed_by_filing_are_sent_without_what_can_be_made(spark, tmp_path):
+    """And stored with the stronger compression; all columns and rows are there."""
+    from kessan.sources import lake
+
+    facts = Tables(spark, SF_DIR).facts.limit(500)
+    lake.land_by_filing(facts, "facts_sent_narrow", 3)
+    landed = lake.read_by_filing(spark, "facts_sent_narrow")
+    assert landed.columns == [*facts.columns, "local_name"] and landed.count() == 500
+    assert all(f.endswith(".zstd.parquet") for f in landed.inputFiles())
+    spark.sql("DROP TABLE facts_sent_narrow")
+    sources.land_facts(facts, str(tmp_path / "lake"))
+    assert all(f.endswith(".zstd.parquet") for f in spark.read.parquet(str(tmp_path / "lake")).inputFiles())
