@@ -102,3 +102,12 @@ def test_facts_landed_by_filing_are_sent_without_what_can_be_made(spark, tmp_pat
     spark.sql("DROP TABLE facts_sent_narrow")
     sources.land_facts(facts, str(tmp_path / "lake"))
     assert all(f.endswith(".zstd.parquet") for f in spark.read.parquet(str(tmp_path / "lake")).inputFiles())
+
+
+def test_unique_facts_shuffle_no_prints(spark):
+    from kessan.operators.facts import FACT_KEYS, unique_facts
+
+    facts = Tables(spark, SF_DIR).facts
+    assert "print1" not in plan_of(unique_facts(facts))
+    want = facts.groupBy("doc_id", *FACT_KEYS).agg(F.min("value").alias("value"))
+    assert sorted(map(str, unique_facts(facts).select(*want.columns).collect())) == sorted(map(str, want.collect()))
