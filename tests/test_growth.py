@@ -111,3 +111,16 @@ def test_unique_facts_shuffle_no_prints(spark):
     assert "print1" not in plan_of(unique_facts(facts))
     want = facts.groupBy("doc_id", *FACT_KEYS).agg(F.min("value").alias("value"))
     assert sorted(map(str, unique_facts(facts).select(*want.columns).collect())) == sorted(map(str, want.collect()))
+
+
+def test_folders_are_written_by_many_tasks_and_large_companies_by_several(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "FILINGS_A_TASK", 50)
+    filings = spark.range(600).selectExpr(
+        "concat('S', id) AS docID", "CASE WHEN id % 2 = 0 THEN 'large' ELSE concat('E', id) END AS edinetCode", "'annual' AS doc_type"
+    )
+    sinks.write_filing_metadata(filings, str(tmp_path / "m"))
+    files = [f for f in (tmp_path / "m").rglob("part-*")]
+    of_large = [f for f in files if f.parent.name == "entity_id=large"]
+    assert 1 < len(of_large) <= 6 and len(files) - len(of_large) == 300
+    assert len({f.name.split("-")[1] for f in files}) > 3
+    assert sources.read_filing_metadata(spark, str(tmp_path / "m"), one_per_file=False).select("docID").distinct().count() == 600
