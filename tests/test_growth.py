@@ -124,3 +124,10 @@ def test_folders_are_written_by_many_tasks_and_large_companies_by_several(spark,
     assert 1 < len(of_large) <= 6 and len(files) - len(of_large) == 300
     assert len({f.name.split("-")[1] for f in files}) > 3
     assert sources.read_filing_metadata(spark, str(tmp_path / "m"), one_per_file=False).select("docID").distinct().count() == 600
+
+
+def test_sorts_of_the_core_compare_a_number_first(spark):
+    from kessan.plans.statements import statements
+
+    (sort,) = re.findall(r"Sort \[([^\]]*)", plan_of(statements(Tables(spark, SF_DIR).facts)))
+    assert sort.startswith("doc#")
