@@ -131,3 +131,19 @@ def test_sorts_of_the_core_compare_a_number_first(spark):
 
     (sort,) = re.findall(r"Sort \[([^\]]*)", plan_of(statements(Tables(spark, SF_DIR).facts)))
     assert sort.startswith("doc#")
+
+
+def test_rows_are_made_once_before_they_are_ordered(spark):
+    from kessan.operators.tables import in_order
+
+    plan = plan_of(in_order(spark.range(9).selectExpr("CAST(id AS STRING) AS doc_id", "id % 3 AS place"), "place", "doc_id"))
+    assert plan.index("rangepartitioning") < plan.index("hashpartitioning(doc_id")
+
+
+def test_a_statement_alone_is_its_part_of_both(spark):
+    from kessan.queries.aggregates import bs_pl
+
+    t = Tables(spark, SF_DIR)
+    text = lambda df: sorted(map(str, df.collect()))
+    for name in ("BS", "PL"):
+        assert text(bs_pl(t, name)) == text(bs_pl(t).filter(F.col("statement") == name))
