@@ -136,8 +136,10 @@ def test_sorts_of_the_core_compare_a_number_first(spark):
 def test_rows_are_made_once_before_they_are_ordered(spark):
     from kessan.operators.tables import in_order
 
-    plan = plan_of(in_order(spark.range(9).selectExpr("CAST(id AS STRING) AS doc_id", "id % 3 AS place"), "place", "doc_id"))
-    assert plan.index("rangepartitioning") < plan.index("hashpartitioning(doc_id")
+    made = spark.range(9).selectExpr("CAST(id AS STRING) AS doc_id", "id % 3 AS place").repartition("doc_id")
+    plan = plan_of(in_order(made.groupBy("doc_id", "place").count(), "doc_id", "place"))
+    steps = [plan.index(step) for step in ("rangepartitioning", "hashpartitioning(doc_id#", "HashAggregate")]
+    assert steps == sorted(steps) and plan.count("Exchange hashpartitioning") == 2
 
 
 def test_a_statement_alone_is_its_part_of_both(spark):
