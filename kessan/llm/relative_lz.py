@@ -5,7 +5,8 @@ partition, and every word gets a place: the block's number and a position in it.
 indexed by *phrases*: a phrase is the stretch of words whose ``window``-word windows share one
 smallest ``GRAM``-word hash (its anchor), so equal windows always lie in phrases of one anchor,
 wherever they stand. The index holds each distinct phrase with its first and its last place in all blocks, two
-places for any number of copies.
+places for any number of copies. A phrase that a document holds many times (a few words over and
+over make one of every window) is one row with all its places there.
 
 *Factors.* A document is parsed from left to right. At the first window not yet in a factor that
 occurs elsewhere, the source is taken whose match reaches farthest: from phrase to phrase while
@@ -107,10 +108,30 @@ def phrases_of(texts: list[bytes], window: int, gram: int) -> tuple[np.ndarray,
     return text[first], place - begin[text[first]], count, lowest[first], whole
 
 
+def once_a_text(text: np.ndarray, anchor: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of rows in order, the first of each phrase in its text; how often it comes again there; and
+    the rows where it does, one kept row's after the other's."""
+    n = len(whole)
+    order = np.argsort(whole, kind="stable")
+    new = np.ones(n, bool)
+    new[1:] = np.logical_or.reduce([x[order[1:]] != x[order[:-1]] for x in (whole, anchor, text)])
+    leader = np.empty(n, np.int64)
+    leader[order] = order[np.maximum.accumulate(np.where(new, np.arange(n), 0))]
+    kept, rest = np.flatnonzero(leader == np.arange(n)), np.flatnonzero(leader != np.arange(n))
+    again = np.bincount(leader[rest], minlength=n)[kept]
+    return kept, again, rest[np.argsort(leader[rest], kind="stable")]
+
+
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
+def _lists(sizes: np.ndarray, values: np.ndarray) -> pa.Array:
+    """Lists of the given sizes; null for an empty one."""
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)), mask=pa.array(sizes == 0))
+
+
 def placed(docs: DataFrame) -> DataFrame:
     """``docs`` (``text`` among its columns) as reference blocks: with ``doc``, the place of each
     document's first word. A document of n bytes takes n / 2 + 1 places, at least one a word."""
@@ -130,22 +151,25 @@ def placed(docs: DataFrame) -> DataFrame:
 
 
 def phrases(blocks: DataFrame, window: int, gram: int) -> DataFrame:
-    """``doc, first, count, anchor, whole`` of every phrase."""
+    """``doc, first, count, anchor, whole, again`` of every phrase of a document; ``again`` has the
+    first windows of its other places there, null if it has none."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, texts in _steps(batch.column(1).to_pylist()):
                 text, first, count, anchor, whole = phrases_of(texts, window, gram)
+                kept, again, rest = once_a_text(text, anchor, whole)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).take(pa.array(text + start)), pa.array(first.astype(np.int32)),
-                        pa.array(count.astype(np.int32)), _signed(anchor), _signed(whole),
+                        batch.column(0).take(pa.array(text[kept] + start)), pa.array(first[kept].astype(np.int32)),
+                        pa.array(count[kept].astype(np.int32)), _signed(anchor[kept]), _signed(whole[kept]),
+                        _lists(again, first[rest]),
                     ],
-                    ["doc", "first", "count", "anchor", "whole"],
+                    ["doc", "first", "count", "anchor", "whole", "again"],
                 )
 
     texts = blocks.select("doc", "text").filter(F.col("text").isNotNull())
-    return texts.mapInArrow(work, "doc long, first int, count int, anchor long, whole long")
+    return texts.mapInArrow(work, "doc long, first int, count int, anchor long, whole long, again array<int>")
 
 
 def _windows(df: DataFrame, window: int) -> DataFrame:
@@ -184,13 +208,15 @@ def _by_document(rows: DataFrame, *fields: str) -> DataFrame:
 
 
 def matches(blocks: DataFrame, window: int, gram: int = GRAM) -> DataFrame:
-    """``doc, first, count, low, high``: runs of windows of a document that also start elsewhere,
-    each run once, and the first and the last place in all blocks where the run stands."""
+    """``doc, first, count, low, high, again``: runs of windows of a document that also start elsewhere,
+    the first and the last place in all blocks where the run stands, and the first windows of its
+    other places in the document (null if none)."""
     place = F.col("doc") + F.col("first")
-    ends = F.min(place).alias("low"), F.max(place).alias("high")
+    times = F.sum(F.coalesce(F.array_size("again"), F.lit(0)) + 1)
+    ends = F.min(place).alias("low"), F.max(F.col("doc") + F.greatest("first", F.array_max("again"))).alias("high")
     found = phrases(blocks, window, gram)
     anchors = found.groupBy("anchor").agg(
-        F.count(F.lit(1)).alias("n"), F.min("whole").alias("least"), F.max("whole").alias("most"), *ends
+        times.alias("n"), F.min("whole").alias("least"), F.max("whole").alias("most"), *ends
     )
     # An anchor that occurs once starts no factor. Written, so that the join can split hot anchors.
     known = written(
@@ -198,10 +224,10 @@ def matches(blocks: DataFrame, window: int, gram: int = GRAM) -> DataFrame:
         "anchors",
     )
     phrase = written(found.join(known, "anchor"), "phrases")
-    several = phrase.filter("NOT alike").select("doc", "first", "count", "anchor", "whole")
-    index = written(several.groupBy("anchor", "whole").agg(F.count(F.lit(1)).alias("weight"), *ends), "phrase-index")
+    several = phrase.filter("NOT alike").select("doc", "first", "count", "anchor", "whole", "again")
+    index = written(several.groupBy("anchor", "whole").agg(times.alias("weight"), *ends), "phrase-index")
     looked_up = written(several.join(index, ["anchor", "whole"]).drop("whole"), "phrases-looked-up")
-    run = "doc", "first", "count", "low", "high"
+    run = "doc", "first", "count", "low", "high", "again"
     full = phrase.filter("alike").select(*run).unionByName(looked_up.filter("weight > 1").select(*run))
     # Borders: each distinct phrase shows its windows once, at its first place, with the weight of its copies.
     todo = _by_document(looked_up.filter(place == F.col("low")), "first", "count", "anchor", "weight", "high")
@@ -214,7 +240,8 @@ def matches(blocks: DataFrame, window: int, gram: int = GRAM) -> DataFrame:
         "repeated-windows",
     )
     edges = window_rows.filter("weight = 1").drop("high").join(repeated, ["anchor", "hash"])
-    return full.unionByName(edges.withColumn("count", F.lit(1)).select(*run))
+    alone = {"count": F.lit(1), "again": F.lit(None).cast("array<int>")}
+    return full.unionByName(edges.withColumns(alone).select(*run))
 
 
 def parse(runs: list[tuple[int, int, int, int]], doc: int, window: int) -> list[tuple[int, int, int]]:
@@ -265,7 +292,7 @@ def remove_repeats(
         F.col(quoted(key)).alias("key"), F.col(quoted(text)).alias("text"), *(c.alias(name) for name, c in named.items())
     )
     blocks = written(placed(docs), "reference-blocks")
-    lists = _by_document(matches(blocks, window), "first", "count", "low", "high")
+    lists = _by_document(matches(blocks, window), "first", "count", "low", "high", "again")
     span = T.StructType([T.StructField(name, T.IntegerType()) for name in ("start", "end")])
     place = [T.StructField(name, T.LongType()) for name in ("block", "position")]
     factor = T.StructType([T.StructField(name, T.IntegerType()) for name in ("start", "length")] + place)
@@ -289,8 +316,9 @@ def remove_repeats(
                     words = (text_ or "").encode("utf-8").split()
                     parsed = []
                     if runs.is_valid:
-                        fields = [runs.values.field(i).to_pylist() for i in range(4)]
-                        parsed = parse(list(zip(*fields, strict=True)), doc, window)
+                        fields = [runs.values.field(i).to_pylist() for i in range(5)]
+                        every = [(at_, *x) for first, *x, again in zip(*fields, strict=True) for at_ in (first, *(again or ()))]
+                        parsed = parse(every, doc, window)
                     found = covered_spans(parsed)
                     stay, last = [], 0
                     for start, end in found:

@@ -4,8 +4,10 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
+from kessan import session
 from kessan.llm import queries, relative_lz
 
 
@@ -123,6 +125,46 @@ def test_phrases_of_any_window_against_counting():
     assert all(len(a) == 1 for a in by_window.values())
 
 
+def periodic(n_words):
+    """Texts that hold the same two words over and over, between words of their own."""
+    turns = ["Is onhe."] * (n_words // 2)
+    return [" ".join([*(f"a{i}x{k}" for k in range(20 * i)), *turns, *(f"b{i}x{k}" for k in range(15 * i))]) for i in range(6)]
+
+
+def test_words_over_and_over_are_one_row_a_document_and_phrase(spark, docs):
+    """However long the words go on: no more rows are looked up, joined or gathered."""
+    counted = []
+    for n_words in (200, 1600):
+        texts = periodic(n_words)
+        blocks = session.written(relative_lz.placed(docs(texts).select("doc_id", "text")), "blocks").select("doc", "text")
+        rows = relative_lz.phrases(blocks, 35, 8).collect()
+        assert len(rows) == len({(r["doc"], r["anchor"], r["whole"]) for r in rows})
+        windows = [(r["doc"], f + i) for r in rows for f in (r["first"], *(r["again"] or ())) for i in range(r["count"])]
+        assert len(windows) == len(set(windows)) == sum(len(t.split()) - 34 for t in texts)
+        counted.append((len(rows), relative_lz.matches(blocks, 35).count()))
+        got, rows = found(docs(texts), 35)
+        assert [got[i] for i in range(len(texts))] == expected(texts, 35)
+        check_factors(rows, {i: t.encode().split() for i, t in enumerate(texts)}, 35)
+    assert counted[0] == counted[1]
+
+
+def test_rows_once_a_text_against_counting():
+    dice = random.Random(4)
+    for n in (0, 1, 2, 50, 400):
+        text = sorted(dice.randrange(4) for _ in range(n))
+        rows = [(t, dice.randrange(3), dice.randrange(5)) for t in text]
+        columns = [np.array([r[i] for r in rows], kind) for i, kind in enumerate((np.int64, np.uint64, np.uint64))]
+        kept, again, rest = relative_lz.once_a_text(*columns)
+        ends, held = np.cumsum(again), {}
+        for k, end, size in zip(kept, ends, again, strict=True):
+            held.setdefault(rows[k], []).extend([int(k), *map(int, rest[end - size : end])])
+        want = {}
+        for i, row in enumerate(rows):
+            want.setdefault(row, []).append(i)
+        assert {k: sorted(v) for k, v in held.items()} == want
+        assert list(kept) == sorted(kept)
+
+
 def test_rows_with_one_id_no_id_and_none(spark, docs):
     long = " ".join(f"a{i}" for i in range(50))
     table = docs([(1, long, "en", "s", 1, "k"), (1, long, "en", "s", 1, "k"), (1, "b " * 3, "en", "s", 1, "k"),
