@@ -149,3 +149,21 @@ def test_a_statement_alone_is_its_part_of_both(spark):
     text = lambda df: sorted(map(str, df.collect()))
     for name in ("BS", "PL"):
         assert text(bs_pl(t, name)) == text(bs_pl(t).filter(F.col("statement") == name))
+
+
+def test_statements_of_few_copies_are_shuffled_once(spark):
+    """By filing, one filing behind the other, and nothing meets by all its columns before; rows are the same, with copies too."""
+    from kessan.plans.statements import BODY, statements
+    from kessan.queries.aggregates import rows_of as statement_rows_of
+
+    t = Tables(spark, SF_DIR)
+    once = statements(t.facts, few_copies=True)
+    assert re.findall(r"Exchange hashpartitioning\(([a-z_]+)#", plan_of(once)) == ["doc_id"] and "Aggregate" not in plan_of(once)
+    assert re.findall(r"Exchange hashpartitioning\(([a-z_]+)#", plan_of(statement_rows_of(t))) == ["doc_id"]
+    text = lambda df: sorted(map(str, df.collect()))
+    want = text(statements(t.facts))
+    assert text(once) == want
+    higher = F.when(F.col("src_ord") % 2 == 0, F.concat(F.lit("\U0010ffff"), "value"))
+    copies = t.facts.unionByName(t.facts).unionByName(t.line_facts.withColumn("value", higher))
+    assert text(statements(copies, few_copies=True)) == want
+    assert text(statements(t.facts, only=BODY, few_copies=True)) == [r for r in want if "statement='META'" not in r]
