@@ -73,10 +73,10 @@ def split_scan(scan: DataFrame, root: str) -> tuple[DataFrame, DataFrame, DataFr
     of each file have a fault. Short and long lines are used, cut or filled, as the rules say; a
     line with an open quote is not, since its last cell holds the rest of the file."""
     spark = scan.sparkSession
-    scan.write.mode("overwrite").parquet(f"{root}/lines")
+    scan.write.mode("overwrite").option("compression", "zstd").parquet(f"{root}/lines")
     lines = spark.read.schema(scan.schema).parquet(f"{root}/lines")
     faulty = lines.filter(F.col("fault").isNotNull()).select("entity_id", "doc_id", "src_ord", "fault", BAD_LINE)
-    faulty.write.mode("overwrite").parquet(f"{root}/quarantine")
+    faulty.write.mode("overwrite").option("compression", "zstd").parquet(f"{root}/quarantine")
     kept = spark.read.schema(faulty.schema).parquet(f"{root}/quarantine")
     counts = kept.groupBy("entity_id", "doc_id", "fault").agg(F.count(F.lit(1)).alias("n"))
     return lines.filter("fault IS NULL OR fault <> 'quote'"), kept, counts

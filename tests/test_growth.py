@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from pathlib import Path
 
 import pytest
 from filing_helpers import SF_DIR, rows
@@ -13,6 +14,7 @@ from kessan.functions.text import doc_id_of, entity_id_of
 from kessan.plans import accruals
 from kessan.queries.bind import Tables
 from kessan.schema import FACT_FILE
+from kessan.session import scratch_path
 
 
 def plan_of(df) -> str:
@@ -167,3 +169,15 @@ def test_statements_of_few_copies_are_shuffled_once(spark):
     copies = t.facts.unionByName(t.facts).unionByName(t.line_facts.withColumn("value", higher))
     assert text(statements(copies, few_copies=True)) == want
     assert text(statements(t.facts, only=BODY, few_copies=True)) == [r for r in want if "statement='META'" not in r]
+
+
+def test_faulty_files_are_packed(spark, monkeypatch):
+    from kessan.queries import all_queries, storage
+
+    folder = []
+    monkeypatch.setattr(storage, "scratch_path", lambda spark, name: folder.append(scratch_path(spark, name)) or folder[-1])
+    got = all_queries()["faulty_lines_accounted"](spark, SF_DIR)
+    files = [f for kind in ("none", "short", "long") for f in Path(folder[0], "annual", kind).glob("part-*")]
+    assert files and all(f.name.endswith(".csv.gz") for f in files)
+    assert all(f.name.endswith(".zstd.parquet") for f in Path(folder[0], "landed", "lines").glob("part-*"))
+    assert got.agg(F.sum("n")).first()[0] == Tables(spark, SF_DIR).header_facts.count() + Tables(spark, SF_DIR).text_facts.count()
