@@ -181,3 +181,23 @@ def test_faulty_files_are_packed(spark, monkeypatch):
     assert files and all(f.name.endswith(".csv.gz") for f in files)
     assert all(f.name.endswith(".zstd.parquet") for f in Path(folder[0], "landed", "lines").glob("part-*"))
     assert got.agg(F.sum("n")).first()[0] == Tables(spark, SF_DIR).header_facts.count() + Tables(spark, SF_DIR).text_facts.count()
+
+
+def test_facts_are_landed_and_told_apart_in_rounds(spark, monkeypatch):
+    """With the same rows, one file a bucket, and no shuffle files of one round left for the next."""
+    from kessan.queries import all_queries, bind
+    from kessan.sources import lake
+
+    t, made = Tables(spark, SF_DIR), all_queries()
+    text = lambda df: sorted(map(str, df.collect()))
+    lake.land_by_filing(t.facts, "facts_in_rounds", 5, 3)
+    lake.land_by_filing(t.facts, "facts_at_once", 5)
+    landed = spark.table("facts_in_rounds")
+    assert len(landed.inputFiles()) == 5 and landed.exceptAll(spark.table("facts_at_once")).count() == 0 and landed.count() == t.facts.count()
+    for name in ("facts_in_rounds", "facts_at_once"):
+        spark.sql(f"DROP TABLE {name}")
+    want = text(made["unique_facts"](spark, SF_DIR))
+    monkeypatch.setattr(bind, "LINES_A_ROUND", 2000)
+    assert Tables(spark, SF_DIR).rounds > 2
+    assert text(made["unique_facts"](spark, SF_DIR)) == want
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
